@@ -106,10 +106,8 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator)
 
 
-def cells_above(value: Column, edges: list[float], closed_left: bool = False) -> Column:
-    """How many of the sorted ``edges`` lie below the value: the bin index of a right-closed binning
-    (``closed_left``: an edge equal to the value counts, too)."""
+def cells_above(value: Column, edges: list[float]) -> Column:
+    """How many of the few sorted ``edges`` lie below the value: its bin in a right-closed binning."""
     if not edges:
         return F.when(value.isNotNull(), F.lit(0))
-    hits = [(value >= F.lit(e) if closed_left else value > F.lit(e)).cast("int") for e in edges]
-    return reduce(add, hits)
+    return reduce(add, [(value > F.lit(e)).cast("int") for e in edges])

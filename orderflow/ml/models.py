@@ -43,6 +43,7 @@ from orderflow.operators.ordering import medians
 from orderflow.session import pin
 
 FEATURES, LABEL, WEIGHT = "features", "_label", "_weight"
+CLASS_TARGET, DAYS_TARGET = "_late", "_days"
 SCORE, PREDICTION = "score", "prediction"
 SEED = 42
 
@@ -253,23 +254,40 @@ def build_preparation(contract: FeatureContract, engineered: bool) -> Pipeline:
     return Pipeline(stages=[*stages, *preparation_stages(numerical, categorical)])
 
 
-def _prepare(pipeline: Pipeline, train: DataFrame, validation: DataFrame, target: str, weighted: bool):
-    """Fit the preparation once for all candidates and pin both prepared parts (narrow: vector, label)."""
-    fitted = pipeline.fit(train)
+@dataclass(frozen=True)
+class Prepared:
+    """The fitted preparation and both parts as narrow pinned frames (vector, both targets, weight)."""
+
+    pipeline: PipelineModel
+    train: DataFrame
+    validation: DataFrame
+    engineered: bool
+
+    def part(self, df: DataFrame, target: str) -> DataFrame:
+        return df.select(FEATURES, F.col(target).alias(LABEL), WEIGHT)
+
+
+def prepare(
+    contract: FeatureContract, train: DataFrame, validation: DataFrame, engineered: bool = False
+) -> Prepared:
+    """Fit the preparation on train once; every candidate of both tasks then reads the same vectors."""
+    fitted = build_preparation(contract, engineered).fit(train)
+    label = contract.classification_target
     weight = F.lit(1.0)
-    if weighted:
-        weights = {r["label"]: r["balanced_weight"] for r in class_weights(train, target).collect()}
-        for label, value in weights.items():
-            weight = F.when(F.col(target) == label, value).otherwise(weight)
+    for row in class_weights(train, label).collect():
+        weight = F.when(F.col(label) == row["label"], row["balanced_weight"]).otherwise(weight)
 
     def narrow(df: DataFrame) -> DataFrame:
         return pin(
             fitted.transform(df).select(
-                FEATURES, F.col(target).cast("double").alias(LABEL), weight.alias(WEIGHT)
+                FEATURES,
+                F.col(label).cast("double").alias(CLASS_TARGET),
+                F.col(contract.regression_target).cast("double").alias(DAYS_TARGET),
+                weight.alias(WEIGHT),
             )
         )
 
-    return fitted, narrow(train), narrow(validation)
+    return Prepared(fitted, narrow(train), narrow(validation), engineered)
 
 
 def _fit(name: str, fit: Fit, train: DataFrame) -> Fitted:
@@ -300,18 +318,12 @@ def check_time_order(train: DataFrame, validation: DataFrame, time_column: str)
 
 
 def compare_classifiers(
-    contract: FeatureContract,
-    train: DataFrame,
-    validation: DataFrame,
-    candidates: dict[str, dict] | None = None,
-    engineered: bool = False,
-    threshold: float = DEFAULT_THRESHOLD,
+    prepared: Prepared, candidates: dict[str, dict] | None = None, threshold: float = DEFAULT_THRESHOLD
 ) -> Comparison:
     """Fit every candidate on train; the best average precision on validation wins (first among equals)."""
     if candidates is None:
-        candidates = ENGINEERED_CLASSIFIERS if engineered else CLASSIFIERS
-    target = contract.classification_target
-    prepared, fit_rows, check_rows = _prepare(build_preparation(contract, engineered), train, validation, target, True)
+        candidates = ENGINEERED_CLASSIFIERS if prepared.engineered else CLASSIFIERS
+    fit_rows, check_rows = (prepared.part(df, CLASS_TARGET) for df in (prepared.train, prepared.validation))
     rows, kept = [], {}
     for name, settings in candidates.items():
         fitted = _fit(name, _classifier(name, settings), fit_rows)
@@ -332,21 +344,14 @@ def compare_classifiers(
             }
         )
         kept[name] = fitted
-    return _choose(train, rows, kept, prepared, "pr_auc", True, "dummy_classifier")
+    return _choose(rows, kept, prepared, "pr_auc", True, "dummy_classifier")
 
 
-def compare_regressors(
-    contract: FeatureContract,
-    train: DataFrame,
-    validation: DataFrame,
-    candidates: dict[str, dict] | None = None,
-    engineered: bool = False,
-) -> Comparison:
+def compare_regressors(prepared: Prepared, candidates: dict[str, dict] | None = None) -> Comparison:
     """Fit every candidate on train; the smallest absolute error on validation wins (first among equals)."""
     if candidates is None:
-        candidates = ENGINEERED_REGRESSORS if engineered else REGRESSORS
-    target = contract.regression_target
-    prepared, fit_rows, check_rows = _prepare(build_preparation(contract, engineered), train, validation, target, False)
+        candidates = ENGINEERED_REGRESSORS if prepared.engineered else REGRESSORS
+    fit_rows, check_rows = (prepared.part(df, DAYS_TARGET) for df in (prepared.train, prepared.validation))
     rows, kept = [], {}
     for name, settings in candidates.items():
         fitted = _fit(name, _regressor(name, settings), fit_rows)
@@ -354,14 +359,13 @@ def compare_regressors(
         measured = regression_metrics(scored, LABEL, PREDICTION).first().asDict()
         rows.append({"model_name": name, **measured, **_timing(fitted, seconds, measured["row_count"])})
         kept[name] = fitted
-    return _choose(train, rows, kept, prepared, "mae", False, "dummy_regressor")
+    return _choose(rows, kept, prepared, "mae", False, "dummy_regressor")
 
 
 def _choose(
-    train: DataFrame,
     rows: Sequence[dict],
     kept: dict[str, Fitted],
-    prepared: PipelineModel,
+    prepared: Prepared,
     metric: str,
     larger: bool,
     baseline: str,
@@ -370,8 +374,8 @@ def _choose(
     best = min(rows, key=lambda r: sign * r[metric] if r[metric] is not None else float("inf"))
     floor = next((r for r in rows if r["model_name"] == baseline), None)
     beats = best["model_name"] != baseline and (floor is None or sign * best[metric] < sign * floor[metric])
-    frame = train.sparkSession.createDataFrame([tuple(r.values()) for r in rows], list(rows[0]))
-    stages = [*prepared.stages, *kept[best["model_name"]].stages]
+    frame = prepared.train.sparkSession.createDataFrame([tuple(r.values()) for r in rows], list(rows[0]))
+    stages = [*prepared.pipeline.stages, *kept[best["model_name"]].stages]
     return Comparison(frame, best["model_name"], PipelineModel(stages), beats, dict(best))
 
 

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.functions.columns import cells_above
 from orderflow.operators.ordering import medians, prefix_sums
 
 # Candidate thresholds 0.05 ... 0.95 and the day windows of the regression report.
@@ -169,10 +169,14 @@ def threshold_sweep(df: DataFrame, score: str, label: str, thresholds: Sequence[
     (one more than there are thresholds) is then summed from the top.
     """
     cuts = sorted(thresholds)
-    interval = cells_above(F.col(score), cuts, closed_left=True)
+    splits = [float("-inf"), *map(float, cuts), float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="_score", outputCol="interval")
+    known = df.select(F.col(score).cast("double").alias("_score"), label).where(
+        F.col("_score").isNotNull() & ~F.isnan("_score")
+    )
     counts = (
-        df.where(F.col(score).isNotNull())
-        .groupBy(interval.alias("interval"))
+        bucketizer.transform(known)
+        .groupBy(F.col("interval").cast("int").alias("interval"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
     grid = df.sparkSession.createDataFrame(
