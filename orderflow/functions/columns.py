@@ -19,20 +19,19 @@ def as_column(value: Column | str) -> Column:
 # --- missing and non-finite values --------------------------------------------------------------
 
 
-def finite(value: Column | str) -> Column:
-    """NaN and infinities become NULL, so that NULL is the only missing value downstream."""
-    c = as_column(value).cast("double")
-    return F.when(F.isnan(c) | (F.abs(c) == float("inf")), None).otherwise(c)
+def number_sql(name: str) -> str:
+    """SQL text for a column as a number: text that is not a number, NaN and infinities become NULL.
 
+    NaN compares greater than infinity, so one comparison rules out both. Operators that touch many
+    columns build SQL text: one call per projection instead of several per column.
+    """
+    number = f"try_cast(`{name}` AS DOUBLE)"
+    return f"CASE WHEN abs({number}) < double('Infinity') THEN {number} END"
 
-def to_number(value: Column | str) -> Column:
-    """Numeric coercion: text that is not a number becomes NULL instead of an error."""
-    return as_column(value).try_cast("double")
 
-
-def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
-    """NULL for a zero or missing denominator and for a result that is not finite."""
-    return finite(F.try_divide(to_number(numerator), to_number(denominator)))
+def finite(name: str) -> Column:
+    """The column as a number with NULL as its only missing value."""
+    return F.expr(number_sql(name))
 
 
 def flag(condition: Column) -> Column:
@@ -71,12 +70,6 @@ def weekday(ts: Column | str) -> Column:
     return F.dayofweek(as_column(ts)) - 1
 
 
-def cyclic(value: Column | str, period: int, offset: int = 0) -> tuple[Column, Column]:
-    """Sine and cosine of a position on a cycle of ``period`` steps."""
-    angle = (as_column(value) - offset) * F.lit(2.0) * F.pi() / period
-    return F.sin(angle), F.cos(angle)
-
-
 # --- aggregates ---------------------------------------------------------------------------------
 
 

@@ -1,18 +1,17 @@
 """Registry of row-level derived features.
 
-Every entry names its inputs and builds one Column; an entry is used only when all inputs are
-present, and everything is added in a single projection.
+Every entry names its inputs and states one SQL expression; an entry is used only when all inputs
+are present, and everything is added in a single projection.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from orderflow.functions.columns import cyclic, finite, flag, safe_divide, to_number
+from orderflow.functions.columns import number_sql
 
 MISSING = "<missing>"
 ROUTE = "seller_customer_route"
@@ -23,7 +22,7 @@ ROUTE_FREQUENCY = "route_frequency"
 class Derived:
     name: str
     requires: tuple[str, ...]
-    build: Callable[[], Column]
+    expression: str
 
 
 # Feature names, source columns, periods and hours of the feature contract.
@@ -67,75 +66,51 @@ NIGHT_ENDS, NIGHT_STARTS = 6, 22
 OFFICE_OPENS, OFFICE_CLOSES = 9, 18
 
 
-def route_of(seller: Column | str, customer: Column | str, missing: str = MISSING) -> Column:
+def route_sql(missing: str) -> str:
     """``seller->customer`` text, with a marker for a missing end."""
-    ends = [F.coalesce(F.col(e) if isinstance(e, str) else e, F.lit(missing)) for e in (seller, customer)]
-    return F.concat(ends[0], F.lit("->"), ends[1])
+    ends = [f"coalesce({end}, '{missing}')" for end in ("primary_seller_state", "customer_state")]
+    return f"concat({ends[0]}, '->', {ends[1]})"
 
 
-def log_of_non_negative(value: Column | str) -> Column:
-    v = to_number(value)
-    return F.when(v >= 0, F.log1p(v))
+def _flag(condition: str) -> str:
+    """0/1 flag; an unknown condition counts as 0."""
+    return f"CAST(coalesce({condition}, false) AS INT)"
+
+
+def _ratio(numerator: str, denominator: str) -> str:
+    """NULL for a zero or missing denominator."""
+    return f"try_divide(try_cast({numerator} AS DOUBLE), try_cast({denominator} AS DOUBLE))"
 
 
 def _calendar() -> list[Derived]:
-    day, hour = F.col("purchase_weekday"), F.col("purchase_hour")
+    day, hour = "purchase_weekday", "purchase_hour"
     entries = [
-        Derived("is_weekend_purchase", ("purchase_weekday",), lambda: flag(day.isin(*WEEKEND))),
-        Derived(
-            "is_night_purchase",
-            ("purchase_hour",),
-            lambda: flag(~hour.between(NIGHT_ENDS, NIGHT_STARTS - 1)),
-        ),
-        Derived(
-            "is_business_hours",
-            ("purchase_hour",),
-            lambda: flag(hour.between(OFFICE_OPENS, OFFICE_CLOSES - 1)),
-        ),
-        Derived(
-            "cross_state_delivery",
-            ("same_state_delivery",),
-            lambda: flag(F.col("same_state_delivery") == 0),
-        ),
+        Derived("is_weekend_purchase", (day,), _flag(f"{day} IN {WEEKEND}")),
+        Derived("is_night_purchase", (hour,), _flag(f"{hour} NOT BETWEEN {NIGHT_ENDS} AND {NIGHT_STARTS - 1}")),
+        Derived("is_business_hours", (hour,), _flag(f"{hour} BETWEEN {OFFICE_OPENS} AND {OFFICE_CLOSES - 1}")),
+        Derived("cross_state_delivery", ("same_state_delivery",), _flag("same_state_delivery = 0")),
     ]
     for prefix, source, period, first in CYCLES:
-        for position, part in enumerate(("sin", "cos")):
-            entries.append(
-                Derived(
-                    f"{prefix}_{part}",
-                    (source,),
-                    lambda s=source, p=period, o=first, i=position: cyclic(s, p, o)[i],
-                )
-            )
+        angle = f"2 * pi() * ({source} - {first}) / {period}"
+        entries += [Derived(f"{prefix}_{wave}", (source,), f"{wave}({angle})") for wave in ("sin", "cos")]
     return entries
 
 
 def _amounts() -> list[Derived]:
-    entries = [Derived(n, (s,), lambda s=s: flag(F.col(s) > 1)) for n, s in MORE_THAN_ONE]
-    entries += [Derived(n, (a, b), lambda a=a, b=b: safe_divide(a, b)) for n, a, b in RATIOS]
-    entries += [Derived(n, (s,), lambda s=s: log_of_non_negative(s)) for n, s in LOGARITHMS]
-    entries += [
-        Derived(
-            "freight_per_kg",
-            ("total_freight", "total_product_weight_g"),
-            lambda: safe_divide("total_freight", to_number("total_product_weight_g") / 1000.0),
-        ),
-        Derived("photos_per_item", ("average_product_photos",), lambda: F.col("average_product_photos")),
-        Derived(
-            "promised_minus_shipping_window",
-            ("promised_delivery_days", "seller_shipping_window_days"),
-            lambda: F.col("promised_delivery_days") - F.col("seller_shipping_window_days"),
-        ),
+    weight = "total_product_weight_g"
+    promised, window = "promised_delivery_days", "seller_shipping_window_days"
+    return [
+        *[Derived(name, (source,), _flag(f"{source} > 1")) for name, source in MORE_THAN_ONE],
+        *[Derived(name, (n, d), _ratio(n, d)) for name, n, d in RATIOS],
+        *[Derived(name, (x,), f"CASE WHEN {x} >= 0 THEN log1p({x}) END") for name, x in LOGARITHMS],
+        Derived("freight_per_kg", ("total_freight", weight), _ratio("total_freight", f"{weight} / 1000D")),
+        Derived("photos_per_item", ("average_product_photos",), "average_product_photos"),
+        Derived("promised_minus_shipping_window", (promised, window), f"{promised} - {window}"),
     ]
-    return entries
 
 
 def registry() -> list[Derived]:
-    route = Derived(
-        ROUTE,
-        ("primary_seller_state", "customer_state"),
-        lambda: route_of("primary_seller_state", "customer_state"),
-    )
+    route = Derived(ROUTE, ("primary_seller_state", "customer_state"), route_sql(MISSING))
     return [*_calendar(), *_amounts(), route]
 
 
@@ -149,15 +124,18 @@ def add_derived(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """Add all (or the named) derived columns whose inputs are available, in one projection."""
     wanted = None if names is None else set(names)
     present = set(df.columns)
-    entries = [d for d in registry() if present.issuperset(d.requires) and (wanted is None or d.name in wanted)]
-    added = df.withColumns({d.name: d.build() for d in entries}) if entries else df
-    return finite_doubles(added)
+    added = [
+        f"{d.expression} AS {d.name}"
+        for d in registry()
+        if present.issuperset(d.requires) and (wanted is None or d.name in wanted)
+    ]
+    return finite_doubles(df.selectExpr("*", *added))
 
 
 def finite_doubles(df: DataFrame) -> DataFrame:
     """Turn NaN and infinities in every floating-point column into NULL."""
-    sweep = {name: finite(name) for name, kind in df.dtypes if kind in ("double", "float")}
-    return df.withColumns(sweep) if sweep else df
+    floating = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    return df.selectExpr(*[f"{number_sql(c)} AS `{c}`" if c in floating else f"`{c}`" for c in df.columns])
 
 
 # --- groups used by reports only ----------------------------------------------------------------
@@ -165,16 +143,11 @@ def finite_doubles(df: DataFrame) -> DataFrame:
 
 def add_reporting_groups(df: DataFrame) -> DataFrame:
     """Month, delivery scope, order-size groups and the route with the report's marker for a gap."""
-    return df.withColumns(
-        {
-            "purchase_period": F.date_format("order_purchase_timestamp", "yyyy-MM"),
-            "delivery_scope": F.when(F.col("same_state_delivery") == 1, "same_state").otherwise(
-                "cross_state_or_missing"
-            ),
-            "multi_item_group": F.when(F.col("item_count") > 1, "multi_item").otherwise("single_item"),
-            "multi_seller_group": F.when(F.col("unique_seller_count") > 1, "multi_seller").otherwise(
-                "single_seller"
-            ),
-            ROUTE: route_of("primary_seller_state", "customer_state", "missing"),
-        }
-    )
+    groups = {
+        "purchase_period": "date_format(order_purchase_timestamp, 'yyyy-MM')",
+        "delivery_scope": "if(same_state_delivery = 1, 'same_state', 'cross_state_or_missing')",
+        "multi_item_group": "if(item_count > 1, 'multi_item', 'single_item')",
+        "multi_seller_group": "if(unique_seller_count > 1, 'multi_seller', 'single_seller')",
+        ROUTE: route_sql("missing"),
+    }
+    return df.selectExpr("*", *[f"{expression} AS {name}" for name, expression in groups.items()])

@@ -7,6 +7,7 @@ import os
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -26,13 +27,15 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.contract import FeatureContract
 from orderflow.functions.derived import ROUTE, ROUTE_FREQUENCY, derived_names
 from orderflow.ml.prep import DerivedFeatures, FrequencyEncoder, class_weights, preparation_stages
 from orderflow.operators.evaluate import (
+    COUNTS,
     DEFAULT_THRESHOLD,
     classification_metrics,
     predict_class,
@@ -44,7 +47,7 @@ from orderflow.session import pin
 
 FEATURES, LABEL, WEIGHT = "features", "_label", "_weight"
 CLASS_TARGET, DAYS_TARGET = "_late", "_days"
-SCORE, PREDICTION = "score", "prediction"
+SCORE, PREDICTION, NAME = "score", "prediction", "model_name"
 SEED = 42
 
 
@@ -77,10 +80,15 @@ class BackFromLog(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 
 @dataclass(frozen=True)
-class Fitted:
+class Run:
+    """One candidate: fitted stages, scored validation rows and wall times."""
+
     name: str
     stages: list
+    scored: DataFrame
     fit_seconds: float
+    score_seconds: float
+    rows: int
 
 
 Fit = Callable[[DataFrame], list]
@@ -290,25 +298,15 @@ def prepare(
     return Prepared(fitted, narrow(train), narrow(validation), engineered)
 
 
-def _fit(name: str, fit: Fit, train: DataFrame) -> Fitted:
+def _run(name: str, fit: Fit, train: DataFrame, validation: DataFrame) -> Run:
+    """Fit on train, score validation, and time both."""
     start = time.perf_counter()
     stages = fit(train)
-    return Fitted(name, stages, time.perf_counter() - start)
-
-
-def _timed_score(fitted: Fitted, validation: DataFrame) -> tuple[DataFrame, float]:
-    scored = PipelineModel(fitted.stages).transform(validation)
-    start = time.perf_counter()
-    scored.write.format("noop").mode("overwrite").save()
-    return scored, time.perf_counter() - start
-
-
-def _timing(fitted: Fitted, seconds: float, rows: int) -> dict:
-    return {
-        "training_seconds": fitted.fit_seconds,
-        "inference_seconds": seconds,
-        "inference_ms_per_order": seconds * 1000.0 / max(rows, 1),
-    }
+    fitted = time.perf_counter()
+    scored = PipelineModel(stages).transform(validation)
+    counted = Observation()
+    scored.observe(counted, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    return Run(name, stages, scored, fitted - start, time.perf_counter() - fitted, int(counted.get["n"]))
 
 
 def check_time_order(train: DataFrame, validation: DataFrame, time_column: str) -> None:
@@ -324,27 +322,24 @@ def compare_classifiers(
     if candidates is None:
         candidates = ENGINEERED_CLASSIFIERS if prepared.engineered else CLASSIFIERS
     fit_rows, check_rows = (prepared.part(df, CLASS_TARGET) for df in (prepared.train, prepared.validation))
-    rows, kept = [], {}
-    for name, settings in candidates.items():
-        fitted = _fit(name, _classifier(name, settings), fit_rows)
-        scored, seconds = _timed_score(fitted, check_rows)
-        judged = scored.select(LABEL, SCORE, predict_class(SCORE, threshold).alias("_class"))
-        counts = classification_metrics(judged, LABEL, "_class").first().asDict()
-        ranking = ranking_metrics(judged, SCORE, LABEL).first().asDict()
-        n = ranking["positives"] + ranking["negatives"]
-        rows.append(
-            {
-                "model_name": name,
-                "threshold": threshold,
-                "positive_rate": ranking["positives"] / n if n else None,
-                "pr_auc": ranking["average_precision"],
-                "roc_auc": ranking["roc_auc"],
-                **counts,
-                **_timing(fitted, seconds, n),
-            }
-        )
-        kept[name] = fitted
-    return _choose(rows, kept, prepared, "pr_auc", True, "dummy_classifier")
+    runs = [_run(name, _classifier(name, settings), fit_rows, check_rows) for name, settings in candidates.items()]
+    judged = _stack(runs, [LABEL, SCORE]).withColumn("_class", predict_class(SCORE, threshold))
+    counts = classification_metrics(judged, LABEL, "_class", [NAME])
+    ranking = ranking_metrics(judged, SCORE, LABEL, [NAME])
+    rate = F.try_divide(F.col("positives"), F.col("positives") + F.col("negatives"))
+    measured = counts.join(ranking, NAME).select(
+        NAME,
+        F.lit(float(threshold)).alias("threshold"),
+        rate.alias("positive_rate"),
+        F.col("average_precision").alias("pr_auc"),
+        "roc_auc",
+        "precision",
+        "recall",
+        "f1_score",
+        "accuracy",
+        *COUNTS,
+    )
+    return _choose(runs, measured, prepared, "pr_auc", True, "dummy_classifier")
 
 
 def compare_regressors(prepared: Prepared, candidates: dict[str, dict] | None = None) -> Comparison:
@@ -352,31 +347,41 @@ def compare_regressors(prepared: Prepared, candidates: dict[str, dict] | None =
     if candidates is None:
         candidates = ENGINEERED_REGRESSORS if prepared.engineered else REGRESSORS
     fit_rows, check_rows = (prepared.part(df, DAYS_TARGET) for df in (prepared.train, prepared.validation))
-    rows, kept = [], {}
-    for name, settings in candidates.items():
-        fitted = _fit(name, _regressor(name, settings), fit_rows)
-        scored, seconds = _timed_score(fitted, check_rows)
-        measured = regression_metrics(scored, LABEL, PREDICTION).first().asDict()
-        rows.append({"model_name": name, **measured, **_timing(fitted, seconds, measured["row_count"])})
-        kept[name] = fitted
-    return _choose(rows, kept, prepared, "mae", False, "dummy_regressor")
+    runs = [_run(name, _regressor(name, settings), fit_rows, check_rows) for name, settings in candidates.items()]
+    measured = regression_metrics(_stack(runs, [LABEL, PREDICTION]), LABEL, PREDICTION, [NAME])
+    return _choose(runs, measured, prepared, "mae", False, "dummy_regressor")
+
+
+def _stack(runs: Sequence[Run], columns: Sequence[str]) -> DataFrame:
+    """Predictions of all candidates under each other, so that one set of jobs measures all of them."""
+    frames = [r.scored.select(F.lit(r.name).alias(NAME), *columns) for r in runs]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _choose(
-    rows: Sequence[dict],
-    kept: dict[str, Fitted],
-    prepared: Prepared,
-    metric: str,
-    larger: bool,
-    baseline: str,
+    runs: Sequence[Run], measured: DataFrame, prepared: Prepared, metric: str, larger: bool, baseline: str
 ) -> Comparison:
+    """One metric row per candidate reaches the driver; the first of equal candidates is kept."""
+    found = {row[NAME]: row.asDict() for row in measured.collect()}
+    rows = [
+        {
+            **found[r.name],
+            "training_seconds": r.fit_seconds,
+            "inference_seconds": r.score_seconds,
+            "inference_ms_per_order": r.score_seconds * 1000.0 / max(r.rows, 1),
+        }
+        for r in runs
+        if r.name in found
+    ]
     sign = -1.0 if larger else 1.0
-    best = min(rows, key=lambda r: sign * r[metric] if r[metric] is not None else float("inf"))
-    floor = next((r for r in rows if r["model_name"] == baseline), None)
-    beats = best["model_name"] != baseline and (floor is None or sign * best[metric] < sign * floor[metric])
-    frame = prepared.train.sparkSession.createDataFrame([tuple(r.values()) for r in rows], list(rows[0]))
-    stages = [*prepared.pipeline.stages, *kept[best["model_name"]].stages]
-    return Comparison(frame, best["model_name"], PipelineModel(stages), beats, dict(best))
+    best = min(rows, key=lambda row: sign * row[metric] if row[metric] is not None else float("inf"))
+    floor = next((row for row in rows if row[NAME] == baseline), None)
+    beats = best[NAME] != baseline and (floor is None or sign * best[metric] < sign * floor[metric])
+    timing = "training_seconds double, inference_seconds double, inference_ms_per_order double"
+    schema = T.StructType([*measured.schema.fields, *T.StructType.fromDDL(timing).fields])
+    frame = measured.sparkSession.createDataFrame([tuple(row.values()) for row in rows], schema)
+    stages = next(r.stages for r in runs if r.name == best[NAME])
+    return Comparison(frame, best[NAME], PipelineModel([*prepared.pipeline.stages, *stages]), beats, dict(best))
 
 
 # --- persistence --------------------------------------------------------------------------------

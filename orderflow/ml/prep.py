@@ -28,7 +28,7 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.functions.columns import finite, to_number
+from orderflow.functions.columns import number_sql
 from orderflow.functions.derived import add_derived
 from orderflow.operators.ordering import medians
 from orderflow.operators.profile import long_numbers
@@ -72,7 +72,7 @@ class ExactMedianImputerModel(_ColumnsModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         fills = self.learned()
         return dataset.withColumns(
-            {c: F.coalesce(finite(to_number(c)), F.lit(fills[c])) for c in self.getInputCols()}
+            {c: F.expr(f"coalesce({number_sql(c)}, {fills[c]!r}D)") for c in self.getInputCols()}
         )
 
 
@@ -81,8 +81,8 @@ class Standardizer(Estimator, _Columns):
 
     def _fit(self, dataset: DataFrame) -> "StandardizerModel":
         columns = self.getInputCols()
-        row = dataset.agg(
-            *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
+        row = dataset.selectExpr(
+            *[f"avg(`{c}`) AS `m_{c}`" for c in columns], *[f"stddev_pop(`{c}`) AS `s_{c}`" for c in columns]
         ).first()
         scale = {c: [row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0] for c in columns}
         return StandardizerModel(inputCols=columns, state=json.dumps(scale))
@@ -92,7 +92,7 @@ class StandardizerModel(_ColumnsModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         scale = self.learned()
         return dataset.withColumns(
-            {c: (F.col(c) - F.lit(scale[c][0])) / F.lit(scale[c][1]) for c in self.getInputCols()}
+            {c: F.expr(f"(`{c}` - {scale[c][0]!r}D) / {scale[c][1]!r}D") for c in self.getInputCols()}
         )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.columns import cells_above, finite, to_number
+from orderflow.functions.columns import cells_above, number_sql
 from orderflow.operators.ordering import quantiles
 from orderflow.operators.profile import long_categories, long_numbers
 
@@ -31,7 +31,8 @@ def decile_edges(train: DataFrame, columns: Sequence[str]) -> dict[str, list[flo
 def numeric_drift(train: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing rates, means, mean difference and population stability index of each column."""
     edges = decile_edges(train, columns)
-    both = _stacked(train, other, columns).select(SIDE, *[finite(to_number(c)).alias(c) for c in columns])
+    numbers = [f"{number_sql(c)} AS `{c}`" for c in columns]
+    both = _stacked(train, other, columns).selectExpr(SIDE, *numbers)
     late = F.col(SIDE) == 1
     values = both.unpivot([SIDE], list(columns), "feature", "value")
     v = F.col("value")

@@ -28,9 +28,9 @@ def predict_class(probability: Column | str, threshold: float = DEFAULT_THRESHOL
 # --- counts and the metrics that follow from them -----------------------------------------------
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     y, p = F.col(label), F.col(prediction)
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count_if((y == 0) & (p == 0)).alias("true_negative"),
         F.count_if((y == 0) & (p == 1)).alias("false_positive"),
         F.count_if((y == 1) & (p == 0)).alias("false_negative"),
@@ -60,8 +60,8 @@ def with_metrics(counts: DataFrame) -> DataFrame:
     return counts.withColumns(metrics_of(*[F.col(c) for c in COUNTS]))
 
 
-def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    return with_metrics(confusion_matrix(df, label, prediction))
+def classification_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    return with_metrics(confusion_matrix(df, label, prediction, by))
 
 
 def classification_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -92,50 +92,56 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 # --- curves -------------------------------------------------------------------------------------
 
 
-def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
+def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives of each distinct score."""
     return (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
+        .groupBy(*by, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives"))
     )
 
 
-def ranked_scores(df: DataFrame, score: str, label: str) -> DataFrame:
+def ranked_scores(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Score counts with the positives and negatives above each score and in total."""
-    return prefix_sums(
-        score_counts(df, score, label), [F.desc("score")], {"positives": "positives", "negatives": "negatives"}
-    )
-
-
-def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Exact area under the ROC curve (ties count half); NULL when only one class occurs."""
-    return roc_auc_of(ranked_scores(df, score, label))
+    measures = {"positives": "positives", "negatives": "negatives"}
+    return prefix_sums(score_counts(df, score, label, by), [F.desc("score")], measures, by)
 
 
-def roc_auc_of(ranked: DataFrame) -> DataFrame:
-    # Twice the area in whole pairs: exact in decimals, whatever the order of summation.
+def roc_auc_column() -> Column:
+    """Area from ranked scores, twice in whole pairs: exact in decimals whatever the order of summation."""
     wide = "decimal(19,0)"
     above = (2 * F.col("positives_before") + F.col("positives")).cast(wide)
     pairs = F.sum(F.col("negatives").cast(wide) * above).cast("double")
     p, n = F.max("positives_total").cast("double"), F.max("negatives_total").cast("double")
-    return ranked.agg(
-        F.coalesce(F.max("positives_total"), F.lit(0)).alias("positives"),
-        F.coalesce(F.max("negatives_total"), F.lit(0)).alias("negatives"),
-        F.try_divide(pairs, F.lit(2.0) * p * n).alias("roc_auc"),
-    )
+    return F.try_divide(pairs, F.lit(2.0) * p * n).alias("roc_auc")
+
+
+def average_precision_column() -> Column:
+    """Precision times recall gained, summed over ranked scores."""
+    hits = F.col("positives_before") + F.col("positives")
+    seen = hits + F.col("negatives_before") + F.col("negatives")
+    gained = F.col("positives") / F.nullif(F.col("positives_total"), F.lit(0))
+    return F.sum(gained * hits / seen).alias("average_precision")
+
+
+def _class_totals() -> list[Column]:
+    return [F.coalesce(F.max(f"{c}_total"), F.lit(0)).alias(c) for c in ("positives", "negatives")]
+
+
+def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
+    """Exact area under the ROC curve (ties count half); NULL when only one class occurs."""
+    return ranked_scores(df, score, label).agg(*_class_totals(), roc_auc_column())
 
 
 def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
     """Sum of precision times recall gained, step by step; NULL without positives."""
-    return average_precision_of(ranked_scores(df, score, label))
+    return ranked_scores(df, score, label).agg(average_precision_column())
 
 
-def average_precision_of(ranked: DataFrame) -> DataFrame:
-    hits = F.col("positives_before") + F.col("positives")
-    seen = hits + F.col("negatives_before") + F.col("negatives")
-    step = F.when(F.col("positives_total") > 0, F.col("positives") / F.col("positives_total") * hits / seen)
-    return ranked.agg(F.sum(step).alias("average_precision"))
+def ranking_metrics(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """ROC-AUC and average precision from one ranking of the scores, overall or per group."""
+    ranked = ranked_scores(df, score, label, by)
+    return ranked.groupBy(*by).agg(*_class_totals(), roc_auc_column(), average_precision_column())
 
 
 def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -151,14 +157,6 @@ def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
-    """ROC-AUC and average precision from one ranking of the scores."""
-    hits = F.col("positives_before") + F.col("positives")
-    ranked = ranked_scores(df, score, label).withColumn("_hits", hits)
-    area, precision = roc_auc_of(ranked), average_precision_of(ranked)
-    return area.select("*", precision.scalar().alias("average_precision"))
-
-
 # --- thresholds ---------------------------------------------------------------------------------
 
 
@@ -205,14 +203,14 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 # --- regression ---------------------------------------------------------------------------------
 
 
-def regression_metrics(df: DataFrame, actual: str, prediction: str) -> DataFrame:
+def regression_metrics(df: DataFrame, actual: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """MAE, RMSE, median absolute error, R2, shares within 2 / 5 / 7 days and the prediction range."""
     y, p = F.col(actual), F.col(prediction)
     errors = df.where(y.isNotNull() & p.isNotNull()).select(
-        y.cast("double").alias("y"), p.cast("double").alias("p"), F.abs(y - p).alias("e")
+        *by, y.cast("double").alias("y"), p.cast("double").alias("p"), F.abs(y - p).alias("e")
     )
     spread = F.var_pop("y") * F.count("y")
-    basic = errors.agg(
+    basic = errors.groupBy(*by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.avg("e").alias("mae"),
         F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"),
@@ -222,7 +220,8 @@ def regression_metrics(df: DataFrame, actual: str, prediction: str) -> DataFrame
         F.max("p").alias("maximum_prediction"),
         F.avg("p").alias("average_prediction"),
     )
-    return basic.select("*", medians(errors, "e").scalar().alias("median_absolute_error"))
+    middle = medians(errors, "e", by, "median_absolute_error")
+    return basic.join(middle, list(by), "left") if by else basic.select("*", middle.scalar().alias("median_absolute_error"))
 
 
 def change_against(old: float | None, new: float) -> dict[str, float | None]:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.columns import cells_above, count_where, finite, to_number
+from orderflow.functions.columns import cells_above, count_where, finite, number_sql
 from orderflow.functions.derived import MISSING
 from orderflow.operators.ordering import prefix_sums, quantiles, quantiles_of_ranked, ranked_values
 from orderflow.session import pin
@@ -28,13 +28,13 @@ LABEL, MEASURE = "_label", "_measure"
 
 def long_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(kept columns, column_name, value) rows; anything that is not a finite number is NULL."""
-    numbers = df.select(*keep, *[finite(to_number(c)).alias(c) for c in columns])
+    numbers = df.selectExpr(*keep, *[f"{number_sql(c)} AS `{c}`" for c in columns])
     return numbers.unpivot(list(keep), list(columns), "column_name", "value")
 
 
 def long_categories(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(kept columns, feature, category) rows of text values with a marker for a gap."""
-    texts = df.select(*keep, *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
+    texts = df.selectExpr(*keep, *[f"coalesce(CAST(`{c}` AS STRING), '{MISSING}') AS `{c}`" for c in columns])
     return texts.unpivot(list(keep), list(columns), "feature", "category")
 
 
@@ -182,7 +182,7 @@ def target_by_quartile(df: DataFrame, columns: Sequence[str], label: str, measur
     quartiled = [c for c in columns if edges.get(c)]
     valued = [c for c in columns if c in edges and not edges[c]]
     targets = [F.col(label).alias(LABEL), F.col(measure).alias(MEASURE)]
-    numbers = df.select(*targets, *[finite(to_number(c)).alias(c) for c in [*quartiled, *valued]])
+    numbers = df.select(*targets, *[finite(c).alias(c) for c in [*quartiled, *valued]])
 
     def cell(c: str) -> Column:
         inner = edges[c][1:-1]

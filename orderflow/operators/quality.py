@@ -35,9 +35,9 @@ def _status(ok: Column) -> Column:
     return F.when(ok, "PASSED").otherwise("FAILED").alias("status")
 
 
-def _missing(name: str, kind: str) -> Column:
-    c = F.col(name)
-    return (c.isNull() | F.isnan(c)) if kind in ("double", "float") else c.isNull()
+def _missing_sql(name: str, kind: str) -> str:
+    empty = f"`{name}` IS NULL"
+    return f"{empty} OR isnan(`{name}`)" if kind in ("double", "float") else empty
 
 
 # --- profile and keys ---------------------------------------------------------------------------
@@ -58,9 +58,7 @@ def missing_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """Missing count and rate of each column, from one pass over the table."""
     kinds = dict(df.dtypes)
     names = list(columns or df.columns)
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[count_where(_missing(c, kinds[c])).alias(c) for c in names]
-    )
+    counted = df.selectExpr("count(1) AS _rows", *[f"count_if({_missing_sql(c, kinds[c])}) AS `{c}`" for c in names])
     kind_of = F.create_map(*[F.lit(x) for c in names for x in (c, kinds[c])])
     return counted.unpivot(["_rows"], names, "column_name", "missing_count").select(
         "column_name",

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.columns import finite, to_number
+from orderflow.functions.columns import number_sql
 from orderflow.operators.ordering import ranked_values
 from orderflow.session import pin
 
@@ -70,7 +70,7 @@ def spearman_pairs(
     Ranks are learned once per column and set of complete rows, so a pair whose gaps differ is
     ranked on its common rows. ``key`` identifies a row.
     """
-    numbers = df.select(key, *[finite(to_number(c)).alias(c) for c in columns])
+    numbers = df.selectExpr(key, *[f"{number_sql(c)} AS `{c}`" for c in columns])
     classes = _mask_classes(numbers, columns)
     variables: dict[str, tuple[str, tuple[str, ...]]] = {}
 

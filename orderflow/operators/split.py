@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.operators.ordering import medians, value_at_position
 
@@ -42,15 +43,24 @@ def _strictly_before(df: DataFrame, time: str, key: str, position: int, found: t
         return F.lit(True)
     moment, rows_before, _ = found
     offset = position - rows_before
-    same_moment = F.col(time).isNull() if moment is None else F.col(time) == F.lit(moment)
-    earlier = F.col(time).isNotNull() if moment is None else F.col(time) < F.lit(moment)
+    at = _literal(df, time, moment)
+    same_moment = F.col(time).isNull() if moment is None else F.col(time) == at
+    earlier = F.col(time).isNotNull() if moment is None else F.col(time) < at
     if offset == 0:
         return F.coalesce(earlier, F.lit(False))
     tied = df.where(same_moment).select(key)
     cut_key, keys_before, holders = value_at_position(tied, key, {"cut": offset})["cut"]
     if keys_before != offset:
         raise ValueError(f"{key} is not unique: {holders} rows hold {cut_key!r} at the cut")
-    return F.coalesce(earlier | (same_moment & (F.col(key) < F.lit(cut_key))), F.lit(False))
+    return F.coalesce(earlier | (same_moment & (F.col(key) < _literal(df, key, cut_key))), F.lit(False))
+
+
+def _literal(df: DataFrame, column: str, value) -> Column:
+    """The value as a literal of the column's own type (a plain datetime literal would carry a zone)."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampNTZType) and value is not None:
+        return F.lit(str(value)).cast(kind)
+    return F.lit(value)
 
 
 def split_frames(df: DataFrame, names: Sequence[str] = (*DEFAULT_CUTS, LAST_PART)) -> dict[str, DataFrame]:
@@ -80,8 +90,8 @@ def split_summary(
     if measure:
         aggregates.append(F.avg(measure).alias("mean_measure"))
     if features:
-        empty = [F.col(c).isNull().cast("bigint") for c in features]
-        aggregates.append(F.sum(sum(empty[1:], empty[0])).alias("missing_cells"))
+        empty = " + ".join(f"CAST(`{c}` IS NULL AS BIGINT)" for c in features)
+        aggregates.append(F.expr(f"sum({empty})").alias("missing_cells"))
     summary = df.groupBy("split").agg(*aggregates)
     if measure:
         summary = summary.join(medians(df, measure, ["split"], "median_measure"), "split", "left")

@@ -478,9 +478,10 @@ ORACLES["ratio_features"] = sql(
     "SELECT order_id, "
     + ", ".join(f"CASE WHEN {d} <> 0 THEN CAST({n} AS DOUBLE) / {d} END AS {r}" for r, (n, d) in RATIOS.items())
     + ", average_product_photos AS photos_per_item,"
-    " promised_delivery_days - seller_shipping_window_days AS promised_minus_shipping_window FROM model",
+    " promised_delivery_days - seller_shipping_window_days AS promised_minus_shipping_window"
+    f" FROM (SELECT * REPLACE ({', '.join(f'round({c}, 4) AS {c}' for c in MONEY)}) FROM model)",
     "model",
-    9,
+    8,
     " ".join(RATIOS) + " photos_per_item promised_minus_shipping_window",
 )
 LOGS = {
