@@ -242,9 +242,9 @@ def histogram(df: DataFrame, columns: Mapping[str, int], clip: float | None = No
     if clip is not None:
         tops = quantiles(long_numbers(df, names), "value", {"top": clip}, ["column_name"])
         upper = {r["column_name"]: r["top"] for r in tops.collect()}
-    numbers = df.select(
-        *[F.least(finite(c), F.lit(upper[c])).alias(c) if c in upper else finite(c).alias(c) for c in names]
-    )
+    numbers = df.select(*[finite(c).alias(c) for c in names])
+    if upper:
+        numbers = numbers.withColumns({c: F.when(F.col(c) > top, top).otherwise(F.col(c)) for c, top in upper.items()})
     span = numbers.agg(
         *[F.min(c).alias(f"lo_{c}") for c in names], *[F.max(c).alias(f"hi_{c}") for c in names]
     ).first()

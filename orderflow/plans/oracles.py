@@ -481,8 +481,6 @@ ORACLES["ratio_features"] = sql(
     " promised_delivery_days - seller_shipping_window_days AS promised_minus_shipping_window"
     f" FROM (SELECT * REPLACE ({', '.join(f'round({c}, 4) AS {c}' for c in MONEY)}) FROM model)",
     "model",
-    8,
-    " ".join(RATIOS) + " photos_per_item promised_minus_shipping_window",
 )
 LOGS = {
     "log1p_total_item_price": "total_item_price",

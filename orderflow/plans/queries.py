@@ -312,7 +312,7 @@ def ratio_features(spark, sf_dir):
     names = [*[name for name, *_ in derived.RATIOS], "freight_per_kg", "photos_per_item", "promised_minus_shipping_window"]
     # Sums of at most four decimals, brought to the same bits before they are divided.
     inputs = model(spark, sf_dir).withColumns({c: F.round(c, 4) for c in MONEY})
-    return rounded(derived.add_derived(inputs, names).select("order_id", *names), 8)
+    return derived.add_derived(inputs, names).select("order_id", *names)
 
 
 @query
