@@ -255,7 +255,8 @@ def histogram(df: DataFrame, columns: Mapping[str, int], clip: float | None = No
         if lo == hi:  # a single value sits in the middle of a unit-wide range
             lo, hi = lo - 0.5, hi + 0.5
         place = F.floor((F.col(c) - F.lit(lo)) / F.lit(hi - lo) * bins)
-        return F.least(place, F.lit(bins - 1)).cast("bigint").alias(c)
+        # The maximum belongs to the last bin (`least` would also pull missing values into it).
+        return F.when(place >= bins, bins - 1).otherwise(place).cast("bigint").alias(c)
 
     filled = numbers.select(*[bin_of(c) for c in known]).unpivot([], known, "column_name", "bin")
     counts = filled.where(F.col("bin").isNotNull()).groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("row_count"))

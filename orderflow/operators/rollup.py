@@ -52,9 +52,10 @@ def order_item_rollup(
 ) -> DataFrame:
     """Item counts, price, freight, weight, volume and listing measures per order.
 
-    Measures, distinct counts and the main seller are three aggregations: fixed-size buffers keep
-    the first in hash aggregation, distinct counts expand only their own columns, and the text
-    picked by the third needs a sort. None of them ever holds all rows or values of one order.
+    Measures, distinct counts and the main seller are separate aggregations: fixed-size buffers keep
+    the first in hash aggregation, each distinct count reads two columns and needs no Expand (one
+    over ids even drops its joins), and the text picked by the last one needs a sort. None of them
+    ever holds all rows or all values of one order.
     """
     key = "order_id"
     weight, volume, photos = "product_weight_g", "product_volume_cm3", "product_photos_qty"
@@ -84,16 +85,15 @@ def order_item_rollup(
         earliest_shipping_limit_date=F.min("shipping_limit_date"),
         latest_shipping_limit_date=F.max("shipping_limit_date"),
     )
-    distinct = rollup(
-        enriched,
-        key,
-        unique_product_count=F.count_distinct("product_id"),
-        unique_seller_count=F.count_distinct("seller_id"),
-        unique_seller_state_count=F.count_distinct("seller_state"),
-        unique_category_count=F.count_distinct("product_category_name"),
-    )
+    counted = {
+        "unique_product_count": "product_id",
+        "unique_seller_count": "seller_id",
+        "unique_seller_state_count": "seller_state",
+        "unique_category_count": "product_category_name",
+    }
+    distinct = [rollup(enriched, key, **{name: F.count_distinct(c)}) for name, c in counted.items()]
     main_seller = rollup(enriched, key, primary_seller_state=value_at_max("seller_state", "price", list(ties)))
-    return _together(key, measures, distinct, main_seller)
+    return _together(key, measures, *distinct, main_seller)
 
 
 def payment_rollup(

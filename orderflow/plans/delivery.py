@@ -165,8 +165,11 @@ class DeliveryTables:
     def payment_features(self) -> DataFrame:
         return payment_rollup(self.payments)
 
-    def joined_orders(self) -> DataFrame:
-        return joined_orders(self.orders, self.customers, self.item_features(), self.payment_features())
-
-    def model_dataset(self) -> DataFrame:
-        return model_dataset(self.joined_orders(), CONTRACT.columns)
+    def joined_orders(self, items: DataFrame | None = None, payments: DataFrame | None = None) -> DataFrame:
+        """Orders with all summaries; pass rollups that were written before to read them instead."""
+        items = self.item_features() if items is None else items
+        payments = self.payment_features() if payments is None else payments
+        return joined_orders(self.orders, self.customers, items, payments)
+
+    def model_dataset(self, joined: DataFrame | None = None) -> DataFrame:
+        return model_dataset(self.joined_orders() if joined is None else joined, CONTRACT.columns)

@@ -814,6 +814,32 @@ ORACLES["categorical_drift"] = sql(
     "train_missing_rate validation_missing_rate total_variation_distance validation_unseen_rate",
 )
 
+ORACLES["drift_ranking"] = sql(
+    "SELECT * FROM ("
+    + union(
+        [
+            *[
+                f"SELECT feature, 'numeric' AS feature_type, population_stability_index AS drift_score, 0e0 AS validation_unseen_rate FROM ({_numeric_drift(c, 'parted')})"
+                for c in SUMMARISED
+            ],
+            *[
+                f"SELECT feature, 'categorical' AS feature_type, total_variation_distance AS drift_score, validation_unseen_rate FROM ({_categorical_drift(c)})"
+                for c in ("customer_state", "primary_payment_type", "purchase_year")
+            ],
+        ]
+    )
+    + ") ORDER BY drift_score DESC, feature LIMIT 10",
+    "parted",
+    6,
+    "drift_score validation_unseen_rate",
+)
+ORACLES["outlier_columns"] = sql(
+    "SELECT column_name, iqr_outlier_count FROM ("
+    + union([_summary(c) for c in FEATURES[7:]])
+    + ") ORDER BY iqr_outlier_count DESC, column_name LIMIT 10",
+    "model",
+)
+
 
 def _spearman(a: str, b: str) -> str:
     def rank(c: str) -> str:

@@ -509,6 +509,22 @@ def categorical_drift(spark, sf_dir):
     return rounded(drift.categorical_drift(train, validation, columns), 9)
 
 
+@query
+def drift_ranking(spark, sf_dir):
+    """The strongest drift over both kinds of columns."""
+    train, validation = _early_late(spark, sf_dir)
+    scores = drift.drift_summary(train, validation, SUMMARISED, ["customer_state", "primary_payment_type", "purchase_year"])
+    picked = scores.select("feature", "feature_type", "drift_score", "validation_unseen_rate")
+    return rounded(reports.largest(picked, "drift_score", "feature"), 6)
+
+
+@query
+def outlier_columns(spark, sf_dir):
+    """Columns with the most values beyond the outlier fences."""
+    summary = profile.numerical_summary(model(spark, sf_dir), list(CONTRACT.numerical))
+    return reports.largest(summary.select("column_name", "iqr_outlier_count"), "iqr_outlier_count", "column_name")
+
+
 @query
 def spearman_pairs(spark, sf_dir):
     return rounded(redundancy.spearman_pairs(model(spark, sf_dir), "order_id", RANKED), 7)

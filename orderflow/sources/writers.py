@@ -4,25 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from orderflow.operators.quality import table_counts
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Overwrite ``path`` with ZSTD Parquet and return the rows written (counted during the write)."""
-    written = Observation("written")
-    counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    return int(written.get["n"])
+
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Overwrite ``path`` with ZSTD Parquet."""
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def write_verified(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Write, read the row count back and fail if it differs."""
-    written = write_parquet(df, path, partition_by)
-    found = df.sparkSession.read.parquet(path).count()
-    if found != written:
-        raise IOError(f"{path}: wrote {written} rows, found {found}")
-    return written
+    """Write, compare the stored rows with a count of the frame itself, and return them.
+
+    The count is a plan of its own that reads no payload columns. (An observed write would save it,
+    but a session that has used an Observation can no longer ship ML models to its executors.)
+    """
+    write_parquet(df, path, partition_by)
+    expected, found = df.count(), df.sparkSession.read.parquet(path).count()
+    if found != expected:
+        raise IOError(f"{path}: expected {expected} rows, found {found}")
+    return found
 
 
 def write_splits(df: DataFrame, path: str, time: str | None = None) -> int:
@@ -43,8 +45,6 @@ def write_report(df: DataFrame, path: str, kind: str = "csv") -> None:
 
 def catalog_report(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Rows and columns of every table in the catalog."""
-    from orderflow.operators.quality import table_counts
-
     names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
     prefix = f"{database}." if database else ""
     return table_counts({n: spark.table(prefix + n) for n in names})
