@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import os
 import time
 from collections.abc import Callable, Sequence
@@ -49,6 +50,7 @@ FEATURES, LABEL, WEIGHT = "features", "_label", "_weight"
 CLASS_TARGET, DAYS_TARGET = "_late", "_days"
 SCORE, PREDICTION, NAME = "score", "prediction", "model_name"
 SEED = 42
+ROWS_PER_TASK = 50_000
 
 
 class Constant(Transformer, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -224,8 +226,8 @@ def _regressor(name: str, settings: dict) -> Fit:
 
 def _over_all_cores(train: DataFrame) -> DataFrame:
     """Forests grow many trees per pass and gain from every core, also on a frame small enough for
-    fewer partitions. The other learners are faster on partitions of the usual size: their iterations
-    are short, so each extra task costs more than it computes."""
+    few partitions. The other learners iterate in short passes, where each extra task costs more than
+    it computes."""
     cores = train.sparkSession.sparkContext.defaultParallelism
     return pin(train.repartition(cores)) if train.rdd.getNumPartitions() < cores else train
 
@@ -284,6 +286,14 @@ class Prepared:
         return df.select(FEATURES, F.col(target).alias(LABEL), WEIGHT)
 
 
+def _sized_for_iterations(df: DataFrame) -> DataFrame:
+    """Pin training rows in partitions that are worth a task in every iteration of a learner. Large
+    data is already cut finer than that; small data is merged without a shuffle."""
+    pinned = pin(df)
+    wanted = max(1, math.ceil(pinned.count() / ROWS_PER_TASK))
+    return pinned.coalesce(wanted) if wanted < pinned.rdd.getNumPartitions() else pinned
+
+
 def prepare(
     contract: FeatureContract, train: DataFrame, validation: DataFrame, engineered: bool = False
 ) -> Prepared:
@@ -295,7 +305,7 @@ def prepare(
         weight = F.when(F.col(label) == row["label"], row["balanced_weight"]).otherwise(weight)
 
     def narrow(df: DataFrame) -> DataFrame:
-        return pin(
+        return _sized_for_iterations(
             fitted.transform(df).select(
                 FEATURES,
                 F.col(label).cast("double").alias(CLASS_TARGET),

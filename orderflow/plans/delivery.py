@@ -159,8 +159,9 @@ class DeliveryTables:
     def enriched_items(self) -> DataFrame:
         return enrich_items(self.order_items, self.products, self.sellers)
 
-    def item_features(self) -> DataFrame:
-        return order_item_rollup(self.enriched_items())
+    def item_features(self, enriched: DataFrame | None = None) -> DataFrame:
+        """Rollup of the enriched items; pass them written to join products and sellers only once."""
+        return order_item_rollup(self.enriched_items() if enriched is None else enriched)
 
     def payment_features(self) -> DataFrame:
         return payment_rollup(self.payments)

@@ -55,7 +55,11 @@ class DeliveryRun:
 
     def build(self, tables: DeliveryTables) -> None:
         """Write the joined and the labelled table and fail if a step lost or multiplied rows."""
-        write_verified(tables.item_features(), self.path("item_features"))
+        # The rollup reads the enriched items several times, each time a few columns: written once, the
+        # product and seller joins (shuffles, when those tables are large) happen once.
+        write_verified(tables.enriched_items(), self.path("enriched_items"))
+        self._require(quality.join_preserves_rows(tables.order_items, self.read("enriched_items"), [KEY]))
+        write_verified(tables.item_features(self.read("enriched_items")), self.path("item_features"))
         write_verified(tables.payment_features(), self.path("payment_features"))
         self._require(
             quality.rollup_reconcile(tables.order_items, self.read("item_features"), KEY, "item_count"),
