@@ -247,6 +247,16 @@ def _penalised(train: DataFrame, l1: float, l2: float):
     ).fit(train)
 
 
+def fit_classifier(name: str, settings: dict, train: DataFrame) -> PipelineModel:
+    """One family on prepared rows (vector, label, weight); adds ``score``."""
+    return PipelineModel(_classifier(name, settings)(train))
+
+
+def fit_regressor(name: str, settings: dict, train: DataFrame) -> PipelineModel:
+    """One family on prepared rows (vector, label); adds ``prediction``."""
+    return PipelineModel(_regressor(name, settings)(train))
+
+
 # --- comparison ---------------------------------------------------------------------------------
 
 

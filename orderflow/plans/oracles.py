@@ -1008,3 +1008,25 @@ ORACLES["regression_metrics"] = sql(
     """mae rmse r2_score within_2_days within_5_days within_7_days minimum_prediction maximum_prediction
        average_prediction median_absolute_error""",
 )
+
+# --- models with a closed form ------------------------------------------------------------------
+
+ORACLES["baseline_models"] = sql(
+    """SELECT count(*) AS row_count, any_value(rate) AS late_probability, any_value(middle) AS days,
+              avg(abs(actual_delivery_days - middle)) AS mae
+       FROM parted, (SELECT avg(late_delivery) AS rate, median(actual_delivery_days) AS middle
+                     FROM parted WHERE split = 'train')
+       WHERE split = 'validation'""",
+    "parted",
+    8,
+    "late_probability days mae",
+)
+ORACLES["linear_model"] = sql(
+    """SELECT order_id, a + b * total_item_price AS prediction
+       FROM parted, (SELECT regr_intercept(total_payment_value, total_item_price) AS a,
+                            regr_slope(total_payment_value, total_item_price) AS b FROM parted WHERE split = 'train')
+       WHERE split = 'validation'""",
+    "parted",
+    4,
+    "prediction",
+)

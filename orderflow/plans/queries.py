@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,14 @@ from pyspark.sql import functions as F
 from orderflow.functions import derived
 from orderflow.functions.columns import days_between, hours_between, seconds_between
 from orderflow.ml import prep
-from orderflow.ml.models import compare_classifiers, compare_regressors, prepare
+from orderflow.ml.models import (
+    LABEL,
+    compare_classifiers,
+    compare_regressors,
+    fit_classifier,
+    fit_regressor,
+    prepare,
+)
 from orderflow.ml.score import Scorer
 from orderflow.operators import drift, evaluate, profile, quality, redundancy, reports, rollup, split
 from orderflow.plans.delivery import CONTRACT, RELATIONSHIPS
@@ -657,6 +665,35 @@ def _fitted(spark, sf_dir):
     return _models[key]
 
 
+@query
+def baseline_models(spark, sf_dir):
+    """Both constant models, learned on train and measured on validation."""
+    ready = parts(spark, sf_dir)
+    train = ready["train"]
+    prior = fit_classifier("dummy_classifier", {}, train.select(F.col(LATE).alias(LABEL)))
+    middle = fit_regressor("dummy_regressor", {}, train.select(F.col(DAYS).alias(LABEL)))
+    guessed = middle.transform(prior.transform(ready["validation"]))
+    return rounded(
+        guessed.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.max("score").alias("late_probability"),
+            F.max("prediction").alias("days"),
+            F.avg(F.abs(F.col(DAYS) - F.col("prediction"))).alias("mae"),
+        ),
+        8,
+    )
+
+
+@query
+def linear_model(spark, sf_dir):
+    """Least squares of the payment on the item price, learned on train and applied to validation."""
+    ready = parts(spark, sf_dir)
+    vector = VectorAssembler(inputCols=["total_item_price"], outputCol="features")
+    train = vector.transform(ready["train"]).select("features", F.col("total_payment_value").alias(LABEL))
+    fitted = fit_regressor("linear_regression", {}, train)
+    return rounded(fitted.transform(vector.transform(ready["validation"])).select("order_id", "prediction"), 4)
+
+
 @query
 def model_compare(spark, sf_dir):
     late, days = _fitted(spark, sf_dir)

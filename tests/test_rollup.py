@@ -95,3 +95,35 @@ def test_model_dataset_filters_and_targets(tables):
 def test_outer_joins_to_required_rollups_become_inner(tables):
     plan = model_dataset(tables.joined_orders(), CONTRACT.columns)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" in plan
+
+
+def test_one_order_with_a_third_of_all_items(spark):
+    from pyspark.sql import functions as F
+
+    from orderflow.operators.rollup import order_item_rollup
+
+    items = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("order_id"),
+        F.col("id").alias("order_item_id"),
+        (F.hash("id") % 700).alias("product_id"),
+        (F.hash(F.col("id") + 1) % 50).alias("seller_id"),
+        (F.hash(F.col("id") + 1) % 50 % 7).cast("string").alias("seller_state"),
+        (F.hash("id") % 700 % 9).cast("string").alias("product_category_name"),
+        F.abs(F.hash(F.col("id") + 2) % 1000).cast("double").alias("price"),
+        F.lit(1.0).alias("freight_value"),
+        F.lit(2.0).alias("product_weight_g"),
+        F.lit(None).cast("double").alias("product_volume_cm3"),
+        F.lit(1.0).alias("product_photos_qty"),
+        F.expr("timestamp_ntz'2020-01-01'").alias("shipping_limit_date"),
+    )
+    pdf = items.toPandas()
+    expected = pdf.groupby("order_id").agg(
+        n=("price", "size"), total=("price", "sum"), products=("product_id", "nunique"), states=("seller_state", "nunique")
+    )
+    top = pdf.sort_values(["price", "order_item_id"], ascending=[False, True]).groupby("order_id").seller_state.first()
+    for layout in (items.repartition(1), items.repartition(17)):
+        got = order_item_rollup(layout).toPandas().set_index("order_id").sort_index()
+        assert (got.item_count == expected.n).all() and (got.total_item_price == expected.total).all()
+        assert (got.unique_product_count == expected.products).all()
+        assert (got.unique_seller_state_count == expected.states).all() and (got.primary_seller_state == top).all()
+        assert got.total_product_volume_cm3.isna().all() and (got.missing_volume_item_count == expected.n).all()
