@@ -7,8 +7,8 @@ bucket. A query looks into its ``probes`` nearest buckets by the lost squared le
 original vectors in double precision; each bucket's best k are merged into the query's best k.
 
 Buckets above BLOCK rows are dealt to several tasks by vec_id, each with its own copy of the queries, so no bucket is whole in one
-task; nothing in it is left out. More ``functions`` make smaller buckets and need more probes: the defaults reach a recall of 0.95 even on
-vectors without any clusters, where each query must score two fifths of all rows; clustered vectors allow two functions.
+task; nothing in it is left out. More ``functions`` make smaller buckets and need more probes: the defaults reach a recall above 0.95 even on
+vectors without any clusters, where each query must score over half of all rows; clustered vectors allow two functions.
 
 Defined results: null vectors, zero vectors and vectors with null or non-finite components take no part, nor do rows with a null vec_id. Ties
 are broken by smaller vec_id; a query's own vec_id is never its neighbour; repeated rows count once. Vectors must have one length, else an error is
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from orderflow.session import pin
 
-TABLES, FUNCTIONS, PROBES, BLOCK, SEED = 8, 1, 20, 4_000, 9
+TABLES, FUNCTIONS, PROBES, BLOCK, SEED = 8, 1, 32, 4_000, 9
 #: Digits by which candidates are chosen, so that equal vectors tie; the score itself is not rounded.
 DIGITS = 10
 QUERIES_AT_ONCE = 512
