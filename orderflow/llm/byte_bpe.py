@@ -89,7 +89,7 @@ class ByteBpe:
         self.known: dict[str, list[int]] = {}
 
     def learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
+        new = {w for w in words if w not in self.known}  # a set minus a key view would walk all keys
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = words

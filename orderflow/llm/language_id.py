@@ -139,7 +139,7 @@ class Seen:
         self.counts = np.zeros((1024, languages), np.int32)
 
     def learn(self, model: Identifier, words: set[str]) -> None:
-        new = list(words - self.place.keys())
+        new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > CACHE:
             self.place.clear()
             new = list(words)

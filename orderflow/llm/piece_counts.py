@@ -167,11 +167,11 @@ def count_tokens(texts: list[str], path: str) -> list[int]:
 
     def settle() -> None:
         nonlocal n
-        new = set().union(*(p for _, p in waiting)) - known.keys()
+        words = set().union(*(p for _, p in waiting))
+        new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHE:
             known.clear()
-            new = set().union(*(p for _, p in waiting))
-        new = list(new)
+            new = list(words)
         for k in range(0, len(new), BATCH):
             some = new[k : k + BATCH]
             known.update(zip(some, counter.count(some).tolist(), strict=True))
