@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import keep_names, matches, or_empty
+from orderflow.session import pin
 
 UNKNOWN = "und"
-PER_LANGUAGE, CHARACTERS = 200, 60_000
+PER_LANGUAGE, CHARACTERS, BROADCAST_ROWS = 200, 60_000, 100_000
 SALTS, CACHE, BATCH = 64, 800_000, 20_000
 #: Words of texts whose phrases are looked up together.
 WORDS_TOGETHER = 500_000
@@ -195,7 +196,10 @@ def training_sample(
     for by in (["lang", "salt"], ["lang"]):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
         hashes = hashes.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
-    return rows.join(hashes.select("lang", "h"), ["lang", "h"]).dropDuplicates(["lang", "h"])
+    chosen = pin(hashes.select("lang", "h"))
+    # Texts are moved only if the chosen hashes are too many to broadcast, that is with very many languages.
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    return rows.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"])
 
 
 def learn(sample: DataFrame, characters: int = CHARACTERS) -> Identifier:
