@@ -18,6 +18,7 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -29,7 +30,7 @@ from orderflow.llm.common import keep_names, matches, or_empty
 FIRST = 0x4E00
 ALPHABET = "".join(chr(FIRST + b) for b in range(256))
 #: Encoded pre-tokens kept between batches by a worker; new ones above that start over.
-CACHE = 500_000
+CACHE = 200_000
 BATCH = 20_000
 UNKNOWN = "<unk>"
 # Field numbers and constants of sentencepiece's model format.
@@ -139,7 +140,7 @@ def with_ids(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Da
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = codec(path, pattern)
         for batch in batches:
-            yield pd.Series([[i for ids in bpe.encode(t) for i in ids] for t in batch], dtype=object)
+            yield pd.Series([np.array([i for ids in bpe.encode(t) for i in ids], np.int32) for t in batch], dtype=object)
 
     return docs.select(*keep_names(docs, "ids"), encoded(or_empty(text)).alias("ids"))
 

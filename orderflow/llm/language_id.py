@@ -34,9 +34,9 @@ from orderflow.session import pin
 
 UNKNOWN = "und"
 PER_LANGUAGE, CHARACTERS, BROADCAST_ROWS = 200, 60_000, 100_000
-SALTS, CACHE, BATCH = 64, 800_000, 20_000
+SALTS, CACHE, BATCH = 64, 250_000, 10_000
 #: Words of texts whose phrases are looked up together.
-WORDS_TOGETHER = 500_000
+WORDS_TOGETHER = 200_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 

@@ -28,7 +28,7 @@ from orderflow.llm.common import keep_names, matches, or_empty
 
 MARK = "▁"
 #: Counts of pre-tokens kept between batches by a worker; new ones above that start over.
-CACHE = 800_000
+CACHE = 400_000
 #: Characters of text looked at together.
 CHUNK = 4_000_000
 #: Pre-tokens merged together: their arrays then fit a core's cache.
@@ -184,7 +184,7 @@ def count_tokens(texts: list[str], path: str) -> list[int]:
         for parts in _pretokens(text or ""):
             waiting.append((i, parts))
             n += len(parts)
-            if n > CHUNK // 8:
+            if n > CHUNK // 16:
                 settle()
     settle()
     return totals
