@@ -16,7 +16,6 @@ import codecs
 import hashlib
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import keep_names, matches, or_empty
+from orderflow.llm.common import keep_names, latest, matches, or_empty, pieces
 
 #: Byte b is written as the character FIRST + b; none of them is a space or a control character.
 FIRST = 0x4E00
@@ -117,9 +116,8 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    return latest(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def digest(text: str, bpe: ByteBpe) -> tuple[int, str, str]:
@@ -134,15 +132,20 @@ def digest(text: str, bpe: ByteBpe) -> tuple[int, str, str]:
 
 
 def with_ids(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Adds ids (array of int) to every row."""
+    """Adds ids (array of int) and round_trip (they decode to the text's bytes again) to every row."""
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = codec(path, pattern)
-        for batch in batches:
-            yield pd.Series([np.array([i for ids in bpe.encode(t) for i in ids], np.int32) for t in batch], dtype=object)
+        for some in (p for batch in batches for p in pieces(batch)):
+            ids = [np.array([i for ids in bpe.encode(t) for i in ids], np.int32) for t in some]
+            back = [bpe.decode(i.tolist()) == t.encode("utf-8", "surrogatepass") for i, t in zip(ids, some, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": back})
 
-    return docs.select(*keep_names(docs, "ids"), encoded(or_empty(text)).alias("ids"))
+    made = ("ids", "round_trip")
+    return docs.select(*keep_names(docs, *made), encoded(or_empty(text)).alias("_made")).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in made], *[f"_made.{m}" for m in made]
+    )
 
 
 def with_decoded(docs: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -151,7 +154,7 @@ def with_decoded(docs: DataFrame, path: str, pattern: str, ids: str = "ids") ->
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = codec(path, pattern)
-        for batch in batches:
+        for batch in (p for batch in batches for p in pieces(batch)):
             yield pd.Series([None if i is None else bpe.decode(i) for i in batch], dtype=object)
 
     return docs.select(*keep_names(docs, "decoded"), decoded(F.col(ids)).alias("decoded"))
@@ -163,7 +166,7 @@ def with_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = codec(path, pattern)
-        for batch in batches:
+        for batch in (p for batch in batches for p in pieces(batch)):
             yield pd.DataFrame([digest(t, bpe) for t in batch], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     made = ("n_tokens", "ids_sha256", "decoded_sha256")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: one very long text is never whole in memory.
 LONG = 1_000_000
 WORDS_AT_ONCE = 200_000
+PIECE = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +39,24 @@ def keep_names(df: DataFrame, *made: str) -> list[Column]:
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in clash]
 
 
+_LATEST: dict = {}
+
+
+def latest(key: tuple, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, kept by a worker until another is asked for: a worker that serves several
+    operators one after the other holds the model and cache of one."""
+    if key not in _LATEST:
+        _LATEST.clear()
+        _LATEST[key] = build()
+    return _LATEST[key]
+
+
+def pieces(batch: pd.Series) -> Iterator[pd.Series]:
+    """A batch in parts of PIECE rows, so that results of long texts don't wait for thousands of others."""
+    for at in range(0, len(batch), PIECE):
+        yield batch.iloc[at : at + PIECE]
+
+
 def matches(pattern: re.Pattern, text: str) -> Iterator[list[str]]:
     """All matches of ``pattern``, as one list or, for a very long text, as several."""
     if len(text) <= LONG:

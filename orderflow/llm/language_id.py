@@ -22,14 +22,13 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import keep_names, matches, or_empty
+from orderflow.llm.common import keep_names, latest, matches, or_empty, pieces
 from orderflow.session import pin
 
 UNKNOWN = "und"
@@ -153,13 +152,9 @@ class Seen:
         self.place.update(zip(new, range(n, n + len(new)), strict=True))
 
 
-@lru_cache(maxsize=1)
-def _seen(token: str, languages: int) -> Seen:
-    return Seen(languages)
-
-
 def identify(texts: list[str], model: Identifier, token: str = "") -> list[tuple[str, float]]:
-    seen, waiting, n = _seen(token, len(model.automata)), [], 0
+    seen = latest(("language", token), lambda: Seen(len(model.automata)))
+    waiting, n = [], 0
     totals = np.zeros((len(texts), len(model.automata)), np.int64)
     characters = [0] * len(texts)
 
@@ -227,7 +222,7 @@ def with_language(docs: DataFrame, model: Identifier, text: str = "text") -> Dat
 
     @F.pandas_udf("lang_pred string, score double")
     def identified(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (p for batch in batches for p in pieces(batch)):
             yield pd.DataFrame(identify(batch.tolist(), sent.value, token), columns=["lang_pred", "score"])
 
     made = ("lang_pred", "score")

@@ -17,14 +17,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import keep_names, matches, or_empty
+from orderflow.llm.common import keep_names, latest, matches, or_empty
 
 MARK = "▁"
 #: Counts of pre-tokens kept between batches by a worker; new ones above that start over.
@@ -144,9 +143,8 @@ class PieceCounter:
         return out
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str) -> tuple[PieceCounter, dict[str, int]]:
-    return PieceCounter(path), {}
+    return latest(("pieces", path), lambda: (PieceCounter(path), {}))
 
 
 def _pretokens(text: str) -> Iterator[list[str]]:
