@@ -73,9 +73,10 @@ def weekday(ts: Column | str) -> Column:
 # --- aggregates ---------------------------------------------------------------------------------
 
 
-def exact_sum(value: Column | str, scale: int = 4) -> Column:
-    """Sum through Decimal: the same bits whatever the partitioning, order or task retries."""
-    return F.sum(as_column(value).cast(f"decimal(18,{scale})")).cast("double")
+def exact_sum(value: Column | str, scale: int = 12) -> Column:
+    """Sum through Decimal: the same bits whatever the partitioning, order or task retries. A row is rounded to
+    ``scale`` places only, and values up to 1e26 fit."""
+    return F.sum(as_column(value).cast(f"decimal(38,{scale})")).cast("double")
 
 
 def count_where(condition: Column) -> Column:

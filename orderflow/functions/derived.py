@@ -86,8 +86,8 @@ def _calendar() -> list[Derived]:
     day, hour = "purchase_weekday", "purchase_hour"
     entries = [
         Derived("is_weekend_purchase", (day,), _flag(f"{day} IN {WEEKEND}")),
-        Derived("is_night_purchase", (hour,), _flag(f"{hour} NOT BETWEEN {NIGHT_ENDS} AND {NIGHT_STARTS - 1}")),
-        Derived("is_business_hours", (hour,), _flag(f"{hour} BETWEEN {OFFICE_OPENS} AND {OFFICE_CLOSES - 1}")),
+        Derived("is_night_purchase", (hour,), _flag(f"{hour} < {NIGHT_ENDS} OR {hour} >= {NIGHT_STARTS}")),
+        Derived("is_business_hours", (hour,), _flag(f"{hour} >= {OFFICE_OPENS} AND {hour} < {OFFICE_CLOSES}")),
         Derived("cross_state_delivery", ("same_state_delivery",), _flag("same_state_delivery = 0")),
     ]
     for prefix, source, period, first in CYCLES:

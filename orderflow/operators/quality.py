@@ -207,10 +207,15 @@ def rollup_reconcile(source: DataFrame, rolled: DataFrame, key: str, counter: st
     return both.select("source_rows", "source_keys", "rolled_rows", "rolled_duplicate_keys", "counted_rows", _status(ok))
 
 
+#: Relative difference of totals that comes from adding up doubles in another order.
+RELATIVE = 1e-12
+
+
 def totals_reconcile(
     source: DataFrame, rolled: DataFrame, measures: Mapping[str, tuple[str, str]], tolerance: float = 0.01
 ) -> DataFrame:
-    """Source and rolled-up total of each measure and whether they agree within the tolerance."""
+    """Source and rolled-up total of each measure and whether they agree: within the tolerance, or within RELATIVE
+    of the source total where doubles can't hold the tolerance any more."""
     names = list(measures)
     sides = []
     for side, df, place in (("source_total", source, 0), ("rolled_total", rolled, 1)):
@@ -221,7 +226,7 @@ def totals_reconcile(
         F.max("source_total").alias("source_total"), F.max("rolled_total").alias("rolled_total")
     )
     difference = F.abs(F.col("source_total") - F.col("rolled_total"))
-    return totals.select("*", difference.alias("difference"), _status(difference <= tolerance))
+    return totals.select("*", difference.alias("difference"), _status(difference <= F.greatest(F.lit(tolerance), F.abs("source_total") * RELATIVE)))
 
 
 def condition_counts(df: DataFrame, conditions: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:

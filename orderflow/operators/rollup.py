@@ -27,9 +27,9 @@ PAYMENT_METHODS = ("credit_card", "voucher", "boleto", "debit_card")
 DELIVERED = "delivered"
 
 
-def rollup(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
+def rollup(df: DataFrame, key: str | Sequence[str], **aggregates: Column) -> DataFrame:
     """One row per key with named aggregates (partial aggregation happens before the shuffle)."""
-    return df.groupBy(key).agg(*[c.alias(name) for name, c in aggregates.items()])
+    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(*[c.alias(name) for name, c in aggregates.items()])
 
 
 def enrich_items(items: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -42,9 +42,20 @@ def enrich_items(items: DataFrame, products: DataFrame, sellers: DataFrame) -> D
     )
 
 
+#: The key of a rollup as two columns that are never NULL, so that the group of rows without a key joins too.
+KEYS = ["_no_key", "_key"]
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    kind = df.schema[key].dataType
+    return df.withColumns({"_no_key": F.col(key).isNull(), "_key": F.coalesce(F.col(key), F.lit("0").cast(kind))})
+
+
 def _together(key: str, *parts: DataFrame) -> DataFrame:
-    """Join rollups of the same key; all are already partitioned by it, so nothing moves again."""
-    return reduce(lambda left, right: left.join(right, key), parts)
+    """Join rollups by KEYS; all are already partitioned by them, so nothing moves again."""
+    joined = reduce(lambda left, right: left.join(right, KEYS), parts)
+    rest = [c for c in joined.columns if c not in KEYS]
+    return joined.select(F.when(~F.col("_no_key"), F.col("_key")).alias(key), *rest)
 
 
 def order_item_rollup(
@@ -59,9 +70,10 @@ def order_item_rollup(
     """
     key = "order_id"
     weight, volume, photos = "product_weight_g", "product_volume_cm3", "product_photos_qty"
+    enriched = _keyed(enriched, key)
     measures = rollup(
         enriched,
-        key,
+        KEYS,
         item_count=F.count(F.lit(1)),
         total_item_price=F.sum("price"),
         average_item_price=F.avg("price"),
@@ -91,8 +103,8 @@ def order_item_rollup(
         "unique_seller_state_count": "seller_state",
         "unique_category_count": "product_category_name",
     }
-    distinct = [rollup(enriched, key, **{name: F.count_distinct(c)}) for name, c in counted.items()]
-    main_seller = rollup(enriched, key, primary_seller_state=value_at_max("seller_state", "price", list(ties)))
+    distinct = [rollup(enriched, KEYS, **{name: F.count_distinct(c)}) for name, c in counted.items()]
+    main_seller = rollup(enriched, KEYS, primary_seller_state=value_at_max("seller_state", "price", list(ties)))
     return _together(key, measures, *distinct, main_seller)
 
 
@@ -104,9 +116,10 @@ def payment_rollup(
     """Payment counts, values, instalments, main method and method indicators per order."""
     key, value = "order_id", "payment_value"
     used = {f"used_{m}": any_flag(F.col("payment_type") == m) for m in methods}
+    payments = _keyed(payments, key)
     measures = rollup(
         payments,
-        key,
+        KEYS,
         payment_count=F.count(F.lit(1)),
         payment_type_count=F.count_distinct("payment_type"),
         total_payment_value=F.sum(value),
@@ -119,7 +132,7 @@ def payment_rollup(
         average_installments=F.avg("payment_installments"),
         **used,
     )
-    main_type = rollup(payments, key, primary_payment_type=value_at_max("payment_type", value, list(ties)))
+    main_type = rollup(payments, KEYS, primary_payment_type=value_at_max("payment_type", value, list(ties)))
     return _together(key, measures, main_type)
 
 

@@ -96,3 +96,10 @@ def test_table_specs_cover_relationships():
     for r in RELATIONSHIPS:
         assert set(r.child_columns) <= set(specs[r.child].schema.names)
         assert set(r.parent_columns) <= set(specs[r.parent].primary_key)
+
+
+def test_totals_of_thirds_agree(spark):
+    source = spark.range(200_000).selectExpr("id % 1000 AS k", "1D / 3 AS v")
+    rolled = source.groupBy("k").agg(F.sum("v").alias("v"))
+    row = quality.totals_reconcile(source, rolled, {"v": ("v", "v")}).first()
+    assert row["status"] == "PASSED" and abs(row["source_total"] - 200_000 / 3) < 1e-6

@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 
+from orderflow.operators import rollup
 from orderflow.operators.rollup import model_dataset
 from orderflow.plans.delivery import CONTRACT, DeliveryTables, table_specs
 
@@ -127,3 +128,30 @@ def test_one_order_with_a_third_of_all_items(spark):
         assert (got.unique_product_count == expected.products).all()
         assert (got.unique_seller_state_count == expected.states).all() and (got.primary_seller_state == top).all()
         assert got.total_product_volume_cm3.isna().all() and (got.missing_volume_item_count == expected.n).all()
+
+
+def test_rows_without_a_key_keep_their_group(spark):
+    items = spark.createDataFrame(
+        [(1, 1, 1, 1, 5.0, 1.0), (None, 1, 2, 2, 7.0, 2.0), (None, 2, 3, 2, 8.0, 2.0), (0, 1, 4, 1, 9.0, 1.0)],
+        "order_id long, order_item_id int, product_id long, seller_id long, price double, freight_value double",
+    ).selectExpr(
+        "*",
+        "1.0D AS product_weight_g",
+        "1.0D AS product_volume_cm3",
+        "1 AS product_photos_qty",
+        "'c' AS product_category_name",
+        "current_timestamp() AS shipping_limit_date",
+        "'s' || seller_id AS seller_state",
+    )
+    got = {r.order_id: r for r in rollup.order_item_rollup(items).collect()}
+    assert {k: (r.item_count, r.unique_product_count, r.primary_seller_state) for k, r in got.items()} == {
+        1: (1, 1, "s1"),
+        None: (2, 2, "s2"),
+        0: (1, 1, "s1"),
+    }
+    payments = spark.createDataFrame(
+        [(1, 1, "card", 1, 5.0), (None, 1, "card", 2, 6.0), (None, 2, "slip", 1, 1.0)],
+        "order_id long, payment_sequential int, payment_type string, payment_installments int, payment_value double",
+    )
+    paid = {r.order_id: (r.payment_count, r.payment_type_count, r.primary_payment_type) for r in rollup.payment_rollup(payments).collect()}
+    assert paid == {1: (1, 1, "card"), None: (2, 2, "card")}
