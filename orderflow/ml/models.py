@@ -431,4 +431,6 @@ def save_best(comparison: Comparison, path: str, metadata: dict | None = None, r
 def load_model(spark, path: str) -> tuple[PipelineModel, dict]:
     """The saved pipeline and its metadata (the decision threshold travels with the model)."""
     record = json.loads(spark.read.text(os.path.join(path, "metadata")).first()["value"])
+    if not record["model_saved"]:
+        raise ValueError(f"the last comparison saved no model in {path}: its best did not beat the baseline")
     return PipelineModel.load(os.path.join(path, "pipeline")), record

@@ -32,6 +32,7 @@ from orderflow.functions.columns import number_sql
 from orderflow.functions.derived import add_derived
 from orderflow.operators.ordering import medians
 from orderflow.operators.profile import long_numbers
+from orderflow.session import pin
 
 
 class _HasState(Params):
@@ -147,7 +148,8 @@ class FrequencyEncoder(Estimator, _InOut, DefaultParamsReadable, DefaultParamsWr
         total = dataset.agg(F.count(name).alias("total"))
         shares = counts.select(F.col(name).alias("category"), (F.col("n") / total.scalar()).alias("share"))
         model = FrequencyEncoderModel(inputCol=name, outputCol=self.getOutputCol())
-        model.shares = shares
+        # Frozen here: later reads neither aggregate the training rows again nor follow changes of their files.
+        model.shares = pin(shares)
         return model
 
 
