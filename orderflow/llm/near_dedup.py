@@ -83,7 +83,8 @@ def distances(fp: Column) -> Column:
 def distance_table(fp: np.ndarray) -> np.ndarray:
     """The same for an array of fingerprints, one row each."""
     pivots = np.array([0, *PIVOTS], np.int64)
-    return np.bitwise_count(fp[:, None] ^ pivots[None, :]).astype(np.int8)
+    # Counted unsigned: of a negative number numpy counts the bits of its absolute value.
+    return np.bitwise_count((fp[:, None] ^ pivots[None, :]).view(np.uint64)).astype(np.int8)
 
 
 def coordinate_keys(table: np.ndarray, radius: int = RADIUS, groups: int = GROUPS) -> np.ndarray:
@@ -131,7 +132,7 @@ def block_links(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS
         if right is None:
             near = near[near > i]
         near = near[np.abs(theirs[near] - ours[i]).max(axis=1, initial=0) <= radius]
-        near = near[np.bitwise_count(other[near] ^ left[i]) <= radius]
+        near = near[np.bitwise_count((other[near] ^ left[i]).view(np.uint64)) <= radius]
         for j in near.tolist():
             a, b = find(i), find(j + shift)
             if a != b:
