@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 import os
 import time
 from collections.abc import Callable, Sequence
@@ -50,7 +49,12 @@ FEATURES, LABEL, WEIGHT = "features", "_label", "_weight"
 CLASS_TARGET, DAYS_TARGET = "_late", "_days"
 SCORE, PREDICTION, NAME = "score", "prediction", "model_name"
 SEED = 42
-ROWS_PER_TASK = 50_000
+#: Tasks of each pass over the training rows. The trees that bagging grows depend on this number, so it is a fixed
+#: parameter and follows neither the rows nor the cores: raise it in ``prepare`` for large training parts, so that
+#: a partition of vectors fits in an executor's memory.
+TRAINING_PARTITIONS = 8
+#: Split candidates per feature; as many as histogram learners on one machine take.
+MAX_BINS = 255
 
 
 class Constant(Transformer, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -107,7 +111,7 @@ ENGINEERED_CLASSIFIERS = {
     "hist_gradient_boosting": {"maxIter": 220, "stepSize": 0.08, "maxDepth": 5, "minInstancesPerNode": 30},
     "random_forest": {"numTrees": 50, "maxDepth": 12, "minInstancesPerNode": 15, "featureSubsetStrategy": "0.5"},
     "extra_trees": {"numTrees": 50, "maxDepth": 14, "minInstancesPerNode": 12, "featureSubsetStrategy": "0.5"},
-    "xgboost": {
+    "gradient_boosted_trees": {
         "maxIter": 180,
         "stepSize": 0.06,
         "maxDepth": 6,
@@ -135,7 +139,7 @@ ENGINEERED_REGRESSORS = {
     "hist_gradient_boosting": {"maxIter": 180, "stepSize": 0.06, "maxDepth": 5, "minInstancesPerNode": 30},
     "random_forest": {"numTrees": 40, "maxDepth": 12, "minInstancesPerNode": 15, "featureSubsetStrategy": "0.5"},
     "extra_trees": {"numTrees": 40, "maxDepth": 14, "minInstancesPerNode": 12, "featureSubsetStrategy": "0.5"},
-    "xgboost": {
+    "gradient_boosted_trees": {
         "maxIter": 180,
         "stepSize": 0.06,
         "maxDepth": 6,
@@ -173,11 +177,10 @@ def _classifier(name: str, settings: dict) -> Fit:
             "random_forest": (RandomForestClassifier, {}),
             "extra_trees": (RandomForestClassifier, {"bootstrap": False}),
             "hist_gradient_boosting": (GBTClassifier, {}),
-            "xgboost": (GBTClassifier, {}),
+            "gradient_boosted_trees": (GBTClassifier, {}),
         }
         kind, extra = kinds[name]
-        rows = _over_all_cores(train) if kind is RandomForestClassifier else train
-        return [kind(**shared, **settings, **extra, seed=SEED).fit(rows), PositiveScore()]
+        return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, **extra, seed=SEED).fit(train), PositiveScore()]
 
     return {"dummy_classifier": prior, "logistic_regression": logistic}.get(name, tree)
 
@@ -209,11 +212,10 @@ def _regressor(name: str, settings: dict) -> Fit:
             "random_forest": (RandomForestRegressor, {}),
             "extra_trees": (RandomForestRegressor, {"bootstrap": False}),
             "hist_gradient_boosting": (GBTRegressor, {}),
-            "xgboost": (GBTRegressor, {}),
+            "gradient_boosted_trees": (GBTRegressor, {}),
         }
         kind, extra = kinds[name]
-        rows = _over_all_cores(train) if kind is RandomForestRegressor else train
-        return [kind(**shared, **settings, **extra, seed=SEED).fit(rows)]
+        return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, **extra, seed=SEED).fit(train)]
 
     return {
         "dummy_regressor": middle,
@@ -224,14 +226,6 @@ def _regressor(name: str, settings: dict) -> Fit:
     }.get(name, tree)
 
 
-def _over_all_cores(train: DataFrame) -> DataFrame:
-    """Forests grow many trees per pass and gain from every core, also on a frame small enough for
-    few partitions. The other learners iterate in short passes, where each extra task costs more than
-    it computes."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return pin(train.repartition(cores)) if train.rdd.getNumPartitions() < cores else train
-
-
 def _penalised(train: DataFrame, l1: float, l2: float):
     """Least squares with penalties stated for the raw label: Spark scales the label by its population
     deviation, which multiplies the quadratic term once more."""
@@ -296,18 +290,18 @@ class Prepared:
         return df.select(FEATURES, F.col(target).alias(LABEL), WEIGHT)
 
 
-def _sized_for_iterations(df: DataFrame) -> DataFrame:
-    """Pin training rows in partitions that are worth a task in every iteration of a learner. Large
-    data is already cut finer than that; small data is merged without a shuffle."""
-    pinned = pin(df)
-    wanted = max(1, math.ceil(pinned.count() / ROWS_PER_TASK))
-    return pinned.coalesce(wanted) if wanted < pinned.rdd.getNumPartitions() else pinned
-
-
 def prepare(
-    contract: FeatureContract, train: DataFrame, validation: DataFrame, engineered: bool = False
+    contract: FeatureContract,
+    train: DataFrame,
+    validation: DataFrame,
+    engineered: bool = False,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> Prepared:
-    """Fit the preparation on train once; every candidate of both tasks then reads the same vectors."""
+    """Fit the preparation on train once; every candidate of both tasks then reads the same vectors.
+
+    Rows are dealt to ``partitions`` by the hash of their key and ordered by it, so that sampling learners see the
+    same rows in the same places whatever the cluster.
+    """
     fitted = build_preparation(contract, engineered).fit(train)
     label = contract.classification_target
     weight = F.lit(1.0)
@@ -315,14 +309,14 @@ def prepare(
         weight = F.when(F.col(label) == row["label"], row["balanced_weight"]).otherwise(weight)
 
     def narrow(df: DataFrame) -> DataFrame:
-        return _sized_for_iterations(
-            fitted.transform(df).select(
-                FEATURES,
-                F.col(label).cast("double").alias(CLASS_TARGET),
-                F.col(contract.regression_target).cast("double").alias(DAYS_TARGET),
-                weight.alias(WEIGHT),
-            )
+        ready = fitted.transform(df).select(
+            F.col(contract.tracking[0]).alias("_key"),
+            FEATURES,
+            F.col(label).cast("double").alias(CLASS_TARGET),
+            F.col(contract.regression_target).cast("double").alias(DAYS_TARGET),
+            weight.alias(WEIGHT),
         )
+        return pin(ready.repartition(partitions, "_key").sortWithinPartitions("_key").drop("_key"))
 
     return Prepared(fitted, narrow(train), narrow(validation), engineered)
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.contract import FeatureContract, require_columns
@@ -47,23 +47,39 @@ class Scorer:
         )
 
 
+def _typed(text: Column, kind: str) -> Column:
+    """The text as ``kind``, NULL where it doesn't fit: numbers must be finite, whole numbers may be written as 2.0."""
+    value = text.try_cast(kind)
+    if kind in ("float", "double"):
+        return F.when(F.abs(value) < float("inf"), value)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        number = text.try_cast("decimal(38,18)")
+        return F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    return value
+
+
 def split_records(df: DataFrame, payload: str, contract: FeatureContract, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """Turn a JSON payload per row into contract columns; unusable rows go to the second frame.
 
-    A row is usable when its payload is a JSON object that names every feature (a null value is
-    allowed). Rejected rows keep the payload and list the missing names.
+    A row is usable when its payload is a JSON object that names every feature with a value of its type (a null
+    value is allowed). Rejected rows keep the payload and list the missing names and the names of unfit values.
     """
     required = F.array(*[F.lit(f) for f in contract.features])
     named = F.from_json(F.col(payload), "map<string,string>")
-    checked = df.withColumn("_named", named).withColumn(
-        "missing_features", F.array_except(required, F.coalesce(F.map_keys("_named"), F.array().cast("array<string>")))
+    given = {f: F.col("_named")[f] for f in contract.features}
+    unfit = [F.when(v.isNotNull() & _typed(v, types[f]).isNull(), F.lit(f)) for f, v in given.items()]
+    checked = df.withColumn("_named", named).withColumns(
+        {
+            "missing_features": F.array_except(
+                required, F.coalesce(F.map_keys("_named"), F.array().cast("array<string>"))
+            ),
+            "invalid_features": F.array_compact(F.array(*unfit)),
+        }
     )
-    complete = F.size("missing_features") == 0
+    usable = (F.size("missing_features") == 0) & (F.size("invalid_features") == 0)
     others = [c for c in df.columns if c != payload]
-    accepted = checked.where(complete).select(
-        *others, *[F.col("_named")[f].try_cast(types[f]).alias(f) for f in contract.features]
-    )
-    return accepted, checked.where(~complete).drop("_named")
+    accepted = checked.where(usable).select(*others, *[_typed(v, types[f]).alias(f) for f, v in given.items()])
+    return accepted, checked.where(~usable).drop("_named")
 
 
 def evaluate_frozen(scorer: Scorer, test: DataFrame, key: str) -> DataFrame:

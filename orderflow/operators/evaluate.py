@@ -93,9 +93,9 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def score_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives of each distinct score."""
+    """Positives and negatives of each distinct score; score_coverage counts the rows left out."""
     return (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isin(0, 1))
         .groupBy(*by, F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives"))
     )
@@ -128,6 +128,20 @@ def _class_totals() -> list[Column]:
     return [F.coalesce(F.max(f"{c}_total"), F.lit(0)).alias(c) for c in ("positives", "negatives")]
 
 
+def score_coverage(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """How many rows the curves and the sweep can use, and why they leave the others out."""
+    s, y = F.col(score).cast("double"), F.col(label)
+    no_score, no_label = s.isNull() | F.isnan(s), y.isNull()
+    other = ~no_label & ~y.isin(0, 1)
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(~no_score & ~no_label & ~other).alias("used_rows"),
+        F.count_if(no_score).alias("rows_without_score"),
+        F.count_if(no_label).alias("rows_without_label"),
+        F.count_if(other).alias("rows_with_other_label"),
+    )
+
+
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Exact area under the ROC curve (ties count half); NULL when only one class occurs."""
     return ranked_scores(df, score, label).agg(*_class_totals(), roc_auc_column())

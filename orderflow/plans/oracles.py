@@ -195,8 +195,19 @@ TIME_DOUBLES = (
     "approval_delay_hours promised_delivery_days seller_shipping_window_days actual_delivery_days lateness_days"
 )
 MONEY = ["total_item_price", "total_freight", "total_payment_value"]
-SUMMARISED = [*MONEY, "item_count", "total_product_weight_g", "seller_shipping_window_days", "actual_delivery_days"]
-GROUPED = ["primary_payment_type", "purchase_weekday", "delivery_scope", "multi_item_group", "multi_seller_group"]
+FEATURES = """customer_state primary_seller_state primary_payment_type purchase_year purchase_month purchase_weekday
+    purchase_hour same_state_delivery approval_delay_hours promised_delivery_days seller_shipping_window_days item_count
+    unique_product_count unique_seller_count unique_seller_state_count unique_category_count total_item_price
+    average_item_price minimum_item_price maximum_item_price total_freight average_freight_per_item
+    maximum_freight_per_item freight_to_price_ratio total_product_weight_g average_product_weight_g
+    maximum_product_weight_g total_product_volume_cm3 average_product_volume_cm3 maximum_product_volume_cm3
+    average_product_photos maximum_product_photos missing_weight_item_count missing_volume_item_count
+    missing_category_item_count payment_count payment_type_count total_payment_value average_payment_value
+    minimum_payment_value maximum_payment_value maximum_installments average_installments used_credit_card used_voucher
+    used_boleto used_debit_card""".split()
+CATEGORICAL, NUMERICAL = FEATURES[:7], FEATURES[7:]
+SUMMARISED = [*NUMERICAL, "late_delivery", "actual_delivery_days"]
+GROUPED = [*CATEGORICAL, "delivery_scope", "multi_item_group", "multi_seller_group"]
 RANKED = [*MONEY, "item_count", "total_product_weight_g", "total_product_volume_cm3", "actual_delivery_days"]
 
 
@@ -572,16 +583,6 @@ def _split(table: str, time: str, key: str, first: str, second: str) -> str:
 
 ORACLES["chronological_split"] = _split("orders", "o_orderdate", "o_orderkey", "0.70", "0.85")
 ORACLES["split_events"] = _split("events", "ts", "event_id", "0.5", "0.9")
-FEATURES = """customer_state primary_seller_state primary_payment_type purchase_year purchase_month purchase_weekday
-    purchase_hour same_state_delivery approval_delay_hours promised_delivery_days seller_shipping_window_days item_count
-    unique_product_count unique_seller_count unique_seller_state_count unique_category_count total_item_price
-    average_item_price minimum_item_price maximum_item_price total_freight average_freight_per_item
-    maximum_freight_per_item freight_to_price_ratio total_product_weight_g average_product_weight_g
-    maximum_product_weight_g total_product_volume_cm3 average_product_volume_cm3 maximum_product_volume_cm3
-    average_product_photos maximum_product_photos missing_weight_item_count missing_volume_item_count
-    missing_category_item_count payment_count payment_type_count total_payment_value average_payment_value
-    minimum_payment_value maximum_payment_value maximum_installments average_installments used_credit_card used_voucher
-    used_boleto used_debit_card""".split()
 ORACLES["split_summary"] = sql(
     f"""SELECT split, count(*) AS row_count, count(DISTINCT order_id) AS distinct_keys,
                min(order_purchase_timestamp) AS start_time, max(order_purchase_timestamp) AS end_time,
@@ -630,7 +631,7 @@ def _summary(column: str) -> str:
     return f"""
         SELECT '{column}' AS column_name, count({column}) AS non_missing_count, count(*) - count({column}) AS missing_count,
                avg({v}) AS mean, stddev_samp({v}) AS std, min({v}) AS minimum, {cuts}, max({v}) AS maximum,
-               skewness({v}) AS skewness,
+               CASE WHEN min({v}) = max({v}) AND count({v}) > 2 THEN 0 ELSE skewness({v}) END AS skewness,
                count(*) FILTER (WHERE {v} < q1 - 1.5 * (q3 - q1) OR {v} > q3 + 1.5 * (q3 - q1)) AS iqr_outlier_count,
                count(*) FILTER (WHERE {v} < 0) AS negative_count
         FROM model, {fences}"""
@@ -653,7 +654,7 @@ def _categories(column: str) -> str:
 
 
 ORACLES["categorical_summary"] = sql(
-    union([_categories(c) for c in [*GROUPED, "customer_state", "seller_customer_route"]]), "grouped", 9, "rate"
+    union([_categories(c) for c in [*GROUPED, "seller_customer_route"]]), "grouped", 9, "rate"
 )
 ORACLES["suspicious_columns"] = sql(
     "SELECT * FROM ("
@@ -674,12 +675,12 @@ TARGET_DOUBLES = "late_delivery_rate mean_actual_delivery_days median_actual_del
 
 
 def _targets(feature: str, category: str, kind: str, source: str) -> str:
-    return f"""SELECT '{feature}' AS feature, {category} AS category, {TARGETS}, '{kind}' AS group_type
+    return f"""SELECT '{feature}' AS feature, {category} AS category, {TARGETS}, {kind} AS group_type
                FROM {source} GROUP BY 2"""
 
 
 ORACLES["target_by_category"] = sql(
-    union([_targets(c, f"coalesce(CAST({c} AS VARCHAR), '<missing>')", "category", "grouped") for c in GROUPED]),
+    union([_targets(c, f"coalesce(CAST({c} AS VARCHAR), '<missing>')", "'category'", "grouped") for c in GROUPED]),
     "grouped",
     8,
     TARGET_DOUBLES,
@@ -687,21 +688,19 @@ ORACLES["target_by_category"] = sql(
 
 
 def _quartiles(column: str) -> str:
-    """Bucket = number of distinct inner edges below the value (edges equal to an outer one collapse)."""
+    """Bucket = number of distinct inner edges below the value (edges equal to an outer one collapse); columns with fewer
+    than four values are grouped by value."""
     edges = ", ".join(f"quantile_cont(CAST({column} AS DOUBLE), {p}) AS e{i}" for i, p in enumerate((0, 0.25, 0.5, 0.75, 1)))
     inner = "list_filter(list_distinct([e1, e2, e3]), lambda x: x > e0 AND x < e4)"
     bucket = f"""CASE WHEN {column} IS NULL THEN '<missing>'
         ELSE 'q' || CAST(1 + len(list_filter({inner}, lambda x: x < CAST({column} AS DOUBLE))) AS VARCHAR) END"""
-    return _targets(column, bucket, "quartile", f"model, (SELECT {edges} FROM model)")
+    category = f"CASE WHEN d < 4 THEN CAST(CAST(coalesce({column}, -1) AS DOUBLE) AS VARCHAR) ELSE {bucket} END"
+    kind = "CASE WHEN any_value(d) < 4 THEN 'value' ELSE 'quartile' END"
+    return _targets(column, category, kind, f"model, (SELECT {edges}, count(DISTINCT {column}) AS d FROM model)")
 
 
 ORACLES["target_by_quartile"] = sql(
-    union(
-        [
-            *[_quartiles(c) for c in SUMMARISED],
-            _targets("used_voucher", "CAST(CAST(coalesce(used_voucher, -1) AS DOUBLE) AS VARCHAR)", "value", "model"),
-        ]
-    ),
+    union([_quartiles(c) for c in NUMERICAL]),
     "model",
     8,
     TARGET_DOUBLES,
@@ -712,7 +711,7 @@ ORACLES["top_routes"] = sql(
         """CASE WHEN seller_customer_route IN
                 (SELECT seller_customer_route FROM grouped GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 12)
                 THEN seller_customer_route ELSE 'other_route' END""",
-        "top_route",
+        "'top_route'",
         "grouped",
     ),
     "grouped",
@@ -785,7 +784,7 @@ DRIFT_DOUBLES = (
     "train_missing_rate validation_missing_rate train_mean validation_mean population_stability_index mean_difference"
 )
 ORACLES["numeric_drift"] = sql(
-    union([_numeric_drift(c, "parted") for c in SUMMARISED]), "parted", 6, DRIFT_DOUBLES
+    union([_numeric_drift(c, "parted") for c in NUMERICAL]), "parted", 6, DRIFT_DOUBLES
 )
 SPLIT_EVENTS = f"(SELECT * FROM events JOIN ({ORACLES['split_events']}) USING (event_id, ts))"
 ORACLES["event_drift"] = sql(
@@ -808,7 +807,7 @@ def _categorical_drift(column: str) -> str:
 
 
 ORACLES["categorical_drift"] = sql(
-    union([_categorical_drift(c) for c in ("customer_state", "primary_payment_type", "purchase_year", "purchase_month")]),
+    union([_categorical_drift(c) for c in CATEGORICAL]),
     "parted",
     9,
     "train_missing_rate validation_missing_rate total_variation_distance validation_unseen_rate",
@@ -820,11 +819,11 @@ ORACLES["drift_ranking"] = sql(
         [
             *[
                 f"SELECT feature, 'numeric' AS feature_type, population_stability_index AS drift_score, 0e0 AS validation_unseen_rate FROM ({_numeric_drift(c, 'parted')})"
-                for c in SUMMARISED
+                for c in NUMERICAL
             ],
             *[
                 f"SELECT feature, 'categorical' AS feature_type, total_variation_distance AS drift_score, validation_unseen_rate FROM ({_categorical_drift(c)})"
-                for c in ("customer_state", "primary_payment_type", "purchase_year")
+                for c in CATEGORICAL
             ],
         ]
     )
@@ -873,14 +872,13 @@ ORACLES["duplicate_columns"] = sql(
 
 # --- preparation --------------------------------------------------------------------------------
 
-GAPPY = ["total_product_weight_g", "total_product_volume_cm3"]
 ORACLES["median_impute"] = sql(
     "SELECT order_id, "
-    + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM parted WHERE split = 'train')) AS {c}" for c in GAPPY)
+    + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM parted WHERE split = 'train')) AS {c}" for c in NUMERICAL)
     + " FROM parted",
     "parted",
-    6,
-    " ".join(GAPPY),
+    8,
+    " ".join(NUMERICAL),
 )
 
 
@@ -901,9 +899,8 @@ def _scaled(column: str) -> str:
         / (SELECT CASE WHEN stddev_pop({column}) = 0 THEN 1 ELSE stddev_pop({column}) END {part}) AS {column}"""
 
 
-SCALED = ["total_item_price", "item_count", "promised_delivery_days"]
 ORACLES["standardize"] = sql(
-    f"SELECT order_id, {', '.join(_scaled(c) for c in SCALED)} FROM parted", "parted", 7, " ".join(SCALED)
+    f"SELECT order_id, {', '.join(_scaled(c) for c in NUMERICAL)} FROM parted", "parted", 7, " ".join(NUMERICAL)
 )
 ORACLES["one_hot"] = sql(
     "SELECT order_id, "
@@ -969,6 +966,12 @@ ORACLES["roc_auc"] = sql(
     9,
     "roc_auc",
 )
+ORACLES["score_coverage"] = """
+    SELECT l_returnflag, count(*) AS row_count, count(*) FILTER (WHERE score IS NOT NULL AND label IN (0, 1)) AS used_rows,
+           count(*) FILTER (WHERE score IS NULL) AS rows_without_score, count(*) FILTER (WHERE label IS NULL) AS rows_without_label,
+           count(*) FILTER (WHERE label = 2) AS rows_with_other_label
+    FROM (SELECT l_returnflag, CASE WHEN l_linenumber % 5 <> 0 THEN l_discount END AS score,
+                 CASE WHEN l_orderkey % 11 <> 0 THEN l_partkey % 3 END AS label FROM lineitem) GROUP BY l_returnflag"""
 CURVE = """
     SELECT score, p, sum(p) OVER w AS hits, sum(n) OVER w AS seen, sum(p) OVER () AS all_p, sum(n) OVER () AS all_n
     FROM (SELECT score, sum(label) AS p, count(*) AS n FROM scored GROUP BY score) WINDOW w AS (ORDER BY score DESC)"""
@@ -1030,3 +1033,12 @@ ORACLES["linear_model"] = sql(
     4,
     "prediction",
 )
+ORACLES["reject_records"] = """
+    SELECT o_orderkey, CASE WHEN fine AND k IN (0, 6) THEN o_orderkey END AS quantity,
+           CASE WHEN fine THEN o_totalprice END AS amount, CASE WHEN fine THEN 'accepted' ELSE 'rejected' END AS status,
+           missing_features, invalid_features
+    FROM (SELECT *, missing_features = '' AND invalid_features = '' AS fine
+          FROM (SELECT *, CASE k WHEN 2 THEN 'quantity' WHEN 4 THEN 'quantity,amount' ELSE '' END AS missing_features,
+                       CASE WHEN k = 4 THEN '' WHEN k IN (1, 5) AND o_orderkey % 5 = 0 THEN 'quantity,amount'
+                            WHEN k IN (1, 5) THEN 'quantity' WHEN o_orderkey % 5 = 0 THEN 'amount' ELSE '' END AS invalid_features
+                FROM (SELECT *, o_orderkey % 7 AS k FROM orders)))"""

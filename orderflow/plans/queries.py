@@ -13,18 +13,22 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.contract import FeatureContract
 from orderflow.functions import derived
 from orderflow.functions.columns import days_between, hours_between, seconds_between
 from orderflow.ml import prep
 from orderflow.ml.models import (
+    CLASSIFIERS,
+    ENGINEERED_REGRESSORS,
     LABEL,
+    REGRESSORS,
     compare_classifiers,
     compare_regressors,
     fit_classifier,
     fit_regressor,
     prepare,
 )
-from orderflow.ml.score import Scorer
+from orderflow.ml.score import Scorer, split_records
 from orderflow.operators import drift, evaluate, profile, quality, redundancy, reports, rollup, split
 from orderflow.plans.delivery import CONTRACT, RELATIONSHIPS
 from orderflow.plans.testbed import delivery_tables, table
@@ -35,8 +39,9 @@ QUERIES: dict[str, Query] = {}
 
 LATE, DAYS, BOUGHT = "late_delivery", "actual_delivery_days", "order_purchase_timestamp"
 MONEY = ["total_item_price", "total_freight", "total_payment_value"]
-SUMMARISED = [*MONEY, "item_count", "total_product_weight_g", "seller_shipping_window_days", DAYS]
-GROUPED = ["primary_payment_type", "purchase_weekday", "delivery_scope", "multi_item_group", "multi_seller_group"]
+NUMERICAL, CATEGORICAL = list(CONTRACT.numerical), list(CONTRACT.categorical)
+SUMMARISED = [*NUMERICAL, LATE, DAYS]
+GROUPED = [*CATEGORICAL, "delivery_scope", "multi_item_group", "multi_seller_group"]
 RANKED = [*MONEY, "item_count", "total_product_weight_g", "total_product_volume_cm3", DAYS]
 
 
@@ -445,7 +450,7 @@ def numerical_summary(spark, sf_dir):
 @query
 def categorical_summary(spark, sf_dir):
     grouped = derived.add_reporting_groups(model(spark, sf_dir))
-    return rounded(profile.categorical_summary(grouped, [*GROUPED, "customer_state", derived.ROUTE]), 9)
+    return rounded(profile.categorical_summary(grouped, [*GROUPED, derived.ROUTE]), 9)
 
 
 @query
@@ -462,7 +467,7 @@ def target_by_category(spark, sf_dir):
 
 @query
 def target_by_quartile(spark, sf_dir):
-    return rounded(profile.target_by_quartile(model(spark, sf_dir), [*SUMMARISED, "used_voucher"], LATE, DAYS), 8)
+    return rounded(profile.target_by_quartile(model(spark, sf_dir), NUMERICAL, LATE, DAYS), 8)
 
 
 @query
@@ -498,7 +503,7 @@ def _early_late(spark, sf_dir):
 
 @query
 def numeric_drift(spark, sf_dir):
-    return rounded(drift.numeric_drift(*_early_late(spark, sf_dir), SUMMARISED), 6)
+    return rounded(drift.numeric_drift(*_early_late(spark, sf_dir), NUMERICAL), 6)
 
 
 @query
@@ -513,15 +518,14 @@ def event_drift(spark, sf_dir):
 @query
 def categorical_drift(spark, sf_dir):
     train, validation = _early_late(spark, sf_dir)
-    columns = ["customer_state", "primary_payment_type", "purchase_year", "purchase_month"]
-    return rounded(drift.categorical_drift(train, validation, columns), 9)
+    return rounded(drift.categorical_drift(train, validation, CATEGORICAL), 9)
 
 
 @query
 def drift_ranking(spark, sf_dir):
     """The strongest drift over both kinds of columns."""
     train, validation = _early_late(spark, sf_dir)
-    scores = drift.drift_summary(train, validation, SUMMARISED, ["customer_state", "primary_payment_type", "purchase_year"])
+    scores = drift.drift_summary(train, validation, NUMERICAL, CATEGORICAL)
     picked = scores.select("feature", "feature_type", "drift_score", "validation_unseen_rate")
     return rounded(reports.largest(picked, "drift_score", "feature"), 6)
 
@@ -545,14 +549,11 @@ def duplicate_columns(spark, sf_dir):
 
 # --- preparation --------------------------------------------------------------------------------
 
-GAPPY = ["total_product_weight_g", "total_product_volume_cm3"]
-
-
 @query
 def median_impute(spark, sf_dir):
     everything = split_model(spark, sf_dir)
-    fitted = prep.ExactMedianImputer(inputCols=GAPPY).fit(everything.where("split = 'train'"))
-    return rounded(fitted.transform(everything).select("order_id", *GAPPY), 6)
+    fitted = prep.ExactMedianImputer(inputCols=NUMERICAL).fit(everything.where("split = 'train'"))
+    return rounded(fitted.transform(everything).select("order_id", *NUMERICAL), 8)
 
 
 @query
@@ -567,9 +568,8 @@ def mode_impute(spark, sf_dir):
 @query
 def standardize(spark, sf_dir):
     everything = split_model(spark, sf_dir)
-    columns = ["total_item_price", "item_count", "promised_delivery_days"]
-    fitted = prep.Standardizer(inputCols=columns).fit(everything.where("split = 'train'"))
-    return rounded(fitted.transform(everything).select("order_id", *columns), 7)
+    fitted = prep.Standardizer(inputCols=NUMERICAL).fit(everything.where("split = 'train'"))
+    return rounded(fitted.transform(everything).select("order_id", *NUMERICAL), 7)
 
 
 @query
@@ -616,6 +616,17 @@ def roc_auc(spark, sf_dir):
     return rounded(evaluate.roc_auc(scored_lines(spark, sf_dir), "score", "label"), 9)
 
 
+@query
+def score_coverage(spark, sf_dir):
+    """Payments as scores: some are missing, and some labels are neither 0 nor 1."""
+    line = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") % 5 != 0, F.col("l_discount")).alias("score"),
+        F.when(F.col("l_orderkey") % 11 != 0, (F.col("l_partkey") % 3).cast("int")).alias("label"),
+        "l_returnflag",
+    )
+    return evaluate.score_coverage(line, "score", "label", ["l_returnflag"])
+
+
 @query
 def average_precision(spark, sf_dir):
     return rounded(evaluate.average_precision(scored_lines(spark, sf_dir), "score", "label"), 9)
@@ -644,12 +655,12 @@ def regression_metrics(spark, sf_dir):
 
 # --- models -------------------------------------------------------------------------------------
 
-QUICK_CLASSIFIERS = {
-    "dummy_classifier": {},
-    "logistic_regression": {"C": 1.0, "maxIter": 50},
-    "decision_tree": {"maxDepth": 6, "minInstancesPerNode": 20},
+# All base families but the forests, at their full settings: those take minutes on one machine.
+UNFORESTED_CLASSIFIERS = {n: s for n, s in CLASSIFIERS.items() if n != "random_forest"}
+UNFORESTED_REGRESSORS = {
+    **{n: s for n, s in REGRESSORS.items() if n != "random_forest_regressor"},
+    **{n: ENGINEERED_REGRESSORS[n] for n in ("ridge", "ridge_log_target", "elastic_net")},
 }
-QUICK_REGRESSORS = {"dummy_regressor": {}, "linear_regression": {}, "ridge": {"alpha": 10.0}}
 
 
 _models: dict[tuple, tuple] = {}
@@ -661,7 +672,10 @@ def _fitted(spark, sf_dir):
     if key not in _models:
         ready = parts(spark, sf_dir)
         prepared = prepare(CONTRACT, ready["train"], ready["validation"])
-        _models[key] = compare_classifiers(prepared, QUICK_CLASSIFIERS), compare_regressors(prepared, QUICK_REGRESSORS)
+        _models[key] = (
+            compare_classifiers(prepared, UNFORESTED_CLASSIFIERS),
+            compare_regressors(prepared, UNFORESTED_REGRESSORS),
+        )
     return _models[key]
 
 
@@ -707,3 +721,31 @@ def score_batch(spark, sf_dir):
     late, days = _fitted(spark, sf_dir)
     scorer = Scorer(CONTRACT, late.best_pipeline, days.best_pipeline, 0.65)
     return scorer.score(parts(spark, sf_dir)["test"], ["order_id"])
+
+
+ORDER_RECORD = FeatureContract(("o_orderkey",), (), ("quantity", "amount"), LATE, DAYS)
+
+
+@query
+def reject_records(spark, sf_dir):
+    """Payloads made of all orders: whole numbers written as 2.0 are accepted; text, fractions and infinity for a number,
+    missing names and payloads that aren't JSON are sent back."""
+    key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 7
+    whole = key.cast("string")
+    quantity = (
+        F.when(kind == 0, F.concat(F.lit('"quantity": '), whole, F.lit(".0, ")))
+        .when(kind == 1, F.lit('"quantity": "abc", '))
+        .when(kind == 2, F.lit(""))
+        .when(kind == 3, F.lit('"quantity": null, '))
+        .when(kind == 5, F.lit('"quantity": 2.5, '))
+        .otherwise(F.concat(F.lit('"quantity": '), whole, F.lit(", ")))
+    )
+    price = F.coalesce(F.col("o_totalprice").cast("string"), F.lit("null"))
+    amount = F.when(key % 5 == 0, F.lit('"Infinity"')).otherwise(price)
+    body = F.concat(F.lit("{"), quantity, F.lit('"amount": '), amount, F.lit("}"))
+    payloads = table(spark, sf_dir, "orders").select(key, F.when(kind == 4, F.lit("not json")).otherwise(body).alias("body"))
+    accepted, rejected = split_records(payloads, "body", ORDER_RECORD, {"quantity": "bigint", "amount": "double"})
+    names = [F.concat_ws(",", c).alias(c) for c in ("missing_features", "invalid_features")]
+    back = rejected.select("o_orderkey", F.lit("rejected").alias("status"), *names)
+    fine = accepted.withColumns({"status": F.lit("accepted"), "missing_features": F.lit(""), "invalid_features": F.lit("")})
+    return fine.unionByName(back, allowMissingColumns=True)

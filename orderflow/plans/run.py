@@ -168,6 +168,10 @@ class DeliveryRun:
             evaluate.ranking_metrics(predictions, PROBABILITY, actual),
         )
         days = evaluate.regression_metrics(predictions, CONTRACT.regression_target, DAYS)
+        coverage = evaluate.score_coverage(predictions, PROBABILITY, actual)
         write_report(late, self.path("reports", "test_classification"), "json")
+        write_report(coverage, self.path("reports", "test_coverage"), "json")
+        write_report(evaluate.pr_curve(predictions, PROBABILITY, actual), self.path("reports", "test_pr_curve"))
+        write_report(evaluate.classification_report(predictions, actual, CLASS), self.path("reports", "test_classes"))
         write_report(days, self.path("reports", "test_regression"), "json")
         return late, days

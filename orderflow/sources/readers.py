@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,17 +20,49 @@ class SourceMissing(FileNotFoundError):
 
 
 def read_csv(
-    spark: SparkSession, spec: TableSpec, path: str, columns: Sequence[str] | None = None, keep_corrupt: bool = False
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    columns: Sequence[str] | None = None,
+    keep_corrupt: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    """CSV with header and the declared types; unreadable rows are kept aside on request."""
+    """CSV with header and the declared types. A value that doesn't fit its type is NULL; ``keep_corrupt`` adds the whole
+    row as text in CORRUPT, ``strict`` ends the read at it. Both parse all columns, so that the rows found don't depend
+    on the columns asked for."""
     schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else spec.schema
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    if keep_corrupt or strict:
+        reader = reader.option("columnPruning", False)
     df = _guarded(spec.name, path, lambda: reader.csv(path))
     return df.select(*columns) if columns else df
 
 
+def split_malformed(spark: SparkSession, spec: TableSpec, path: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit the declared types, and the others with their text in CORRUPT."""
+    rows = read_csv(spark, spec, path, keep_corrupt=True)
+    fit = F.col(CORRUPT).isNull()
+    return rows.where(fit).drop(CORRUPT), rows.where(~fit)
+
+
+def malformed_rows(spark: SparkSession, specs: Mapping[str, TableSpec], paths: Mapping[str, str]) -> DataFrame:
+    """One row per table: rows, rows that don't fit the declared types, and a checksum of all values."""
+    counts = [
+        read_csv(spark, spec, paths[name], keep_corrupt=True)
+        .select(F.col(CORRUPT).isNotNull().alias("unfit"), F.xxhash64(*spec.schema.names).alias("h"))
+        .agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if("unfit").alias("malformed_rows"),
+            F.bit_xor("h").alias("checksum"),
+        )
+        for name, spec in specs.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def infer_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
     """CSV with types inferred from a full scan (one extra pass over the file)."""
     reader = spark.read.option("header", True).option("inferSchema", True).option("samplingRatio", 1.0)
@@ -43,8 +76,8 @@ def read_parquet(spark: SparkSession, name: str, path: str, columns: Sequence[st
 
 
 def read_tables(spark: SparkSession, specs: Mapping[str, TableSpec], paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """All declared tables by name."""
-    return {name: read_csv(spark, spec, paths[name]) for name, spec in specs.items()}
+    """All declared tables by name; a row that doesn't fit its declared types ends the read (see split_malformed)."""
+    return {name: read_csv(spark, spec, paths[name], strict=True) for name, spec in specs.items()}
 
 
 def file_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

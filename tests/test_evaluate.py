@@ -89,3 +89,9 @@ def test_metrics_per_group(spark):
 def test_change_against():
     assert evaluate.change_against(5.0, 4.0) == {"absolute_change": -1.0, "percent_change": -20.0}
     assert evaluate.change_against(None, 4.0)["percent_change"] is None
+
+
+def test_rows_left_out_of_the_curves_are_counted(spark):
+    df = scored(spark, [(0.9, 1), (0.1, 0), (None, 1), (float("nan"), 1), (0.5, None), (0.5, 2)])
+    assert tuple(evaluate.score_coverage(df, "score", "label").first()) == (6, 2, 2, 1, 1)
+    assert evaluate.roc_auc(df, "score", "label").first().asDict() == {"positives": 1, "negatives": 1, "roc_auc": 1.0}

@@ -151,6 +151,50 @@ def test_payload_records(spark):
     assert missing == {2: ["x", "z"], 3: ["state", "x", "z"], 4: ["state", "x", "z"]}
 
 
+def test_payload_values_that_do_not_fit_are_rejected(spark):
+    contract = FeatureContract(("id",), ("state",), ("n", "x"), "late", "days")
+    values = ["2", "2.0", '"abc"', "2.5", "1e30", "null", "true"]
+    rows = [(i, f'{{"state": "A", "n": {v}, "x": 1}}') for i, v in enumerate(values)]
+    rows += [(90, '{"state": "A", "n": 1, "x": "Infinity"}'), (91, '{"state": "A", "n": 1, "x": "NaN"}')]
+    df = spark.createDataFrame(rows, "id int, body string")
+    accepted, rejected = split_records(df, "body", contract, {"state": "string", "n": "bigint", "x": "double"})
+    assert {r["id"]: r["n"] for r in accepted.collect()} == {0: 2, 1: 2, 5: None}
+    assert {r["id"]: r["invalid_features"] for r in rejected.collect()} == {2: ["n"], 3: ["n"], 4: ["n"], 6: ["n"], 90: ["x"], 91: ["x"]}
+
+
+SMALL_TREES = {"maxDepth": 3, "minInstancesPerNode": 5}
+SMALL_CLASSIFIERS = {
+    "dummy_classifier": {},
+    "random_forest": {"numTrees": 5, **SMALL_TREES},
+    "extra_trees": {"numTrees": 5, **SMALL_TREES},
+    "hist_gradient_boosting": {"maxIter": 4, **SMALL_TREES},
+    "gradient_boosted_trees": {"maxIter": 4, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", **SMALL_TREES},
+}
+
+
+def test_tree_families_learn_the_signal(fitted):
+    prepared, _, _ = fitted
+    late = models.compare_classifiers(prepared, SMALL_CLASSIFIERS)
+    got = {r["model_name"]: r["roc_auc"] for r in late.metrics.collect()}
+    assert set(got) == set(SMALL_CLASSIFIERS)
+    assert all(v > 0.7 for name, v in got.items() if name != "dummy_classifier")
+    named = {"random_forest_regressor" if n == "random_forest" else n: s for n, s in SMALL_CLASSIFIERS.items() if s}
+    days = models.compare_regressors(prepared, {"dummy_regressor": {}, **named})
+    errors = {r["model_name"]: r["mae"] for r in days.metrics.collect()}
+    assert all(v < errors["dummy_regressor"] for name, v in errors.items() if name != "dummy_regressor")
+
+
+def test_training_partitions_do_not_follow_the_input(fitted, parts):
+    prepared, _, _ = fitted
+    again = models.prepare(CONTRACT, parts[0].repartition(23), parts[1].repartition(2))
+    assert prepared.train.rdd.getNumPartitions() == again.train.rdd.getNumPartitions() == models.TRAINING_PARTITIONS
+    forests = [
+        models.fit_regressor("random_forest_regressor", SMALL_CLASSIFIERS["random_forest"], p.part(p.train, "_days"))
+        for p in (prepared, again)
+    ]
+    assert forests[0].stages[0].toDebugString.split("\n")[1:] == forests[1].stages[0].toDebugString.split("\n")[1:]
+
+
 def test_stream_equals_batch(spark, fitted, parts, tmp_path):
     _, late, days = fitted
     scorer = Scorer(CONTRACT, late.best_pipeline, days.best_pipeline, 0.65)

@@ -3,7 +3,7 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
 from check_queries import TABLES, rows_of
 from orderflow.plans.delivery import table_specs
 from orderflow.sources import readers, writers
@@ -21,6 +21,20 @@ def test_csv_with_declared_types(spark, tmp_path):
     assert inferred["payment_value"] == "double" and inferred["payment_installments"] == "int"
 
 
+def test_malformed_rows_end_the_read_or_are_set_aside(spark, tmp_path):
+    specs = {"payments": table_specs()["payments"]}
+    path = tmp_path / "payments.csv"
+    path.write_text("order_id,payment_sequential,payment_type,payment_installments,payment_value\na,1,boleto,1,abc\nb,1,voucher,2,3\nc,2\n")
+    paths = {"payments": str(path)}
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        readers.read_tables(spark, specs, paths)["payments"].select("order_id").collect()
+    fit, unfit = readers.split_malformed(spark, specs["payments"], str(path))
+    assert [r["order_id"] for r in fit.collect()] == ["b"]
+    assert sorted(r["_corrupt_record"] for r in unfit.collect()) == ["a,1,boleto,1,abc", "c,2"]
+    counted = readers.malformed_rows(spark, specs, paths).first()
+    assert (counted["table_name"], counted["row_count"], counted["malformed_rows"]) == ("payments", 3, 2)
+
+
 def test_missing_source_names_the_table(spark, tmp_path):
     with pytest.raises(readers.SourceMissing, match="payments"):
         readers.read_csv(spark, table_specs()["payments"], str(tmp_path / "nothing.csv"))
@@ -59,7 +73,7 @@ FAST = [
     "pk_check", "fk_check", "fk_orphans", "missing_values", "rollup_reconcile", "totals_reconcile", "reconcile_two_tables",
     "order_item_rollup", "payment_rollup", "model_dataset", "ratio_features", "route_frequency", "chronological_split",
     "split_summary", "numerical_summary", "categorical_summary", "target_by_quartile", "numeric_drift", "spearman_pairs",
-    "roc_auc", "pr_curve", "threshold_sweep", "regression_metrics",
+    "categorical_drift", "drift_ranking", "median_impute", "standardize", "score_coverage", "reject_records", "roc_auc", "pr_curve", "threshold_sweep", "regression_metrics",
 ]
 
 
@@ -80,4 +94,4 @@ def test_query_equals_sql(spark, tiny, db, name):
 
 
 def test_every_query_but_the_models_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"model_compare", "score_batch"}
+    assert set(queries()) - set(oracle_sql()) - set(LLM_QUERIES) == {"model_compare", "score_batch"}
