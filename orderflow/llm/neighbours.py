@@ -6,13 +6,18 @@ signs and a fast Hadamard transform) and assigns them to the nearest signed axis
 bucket. A query looks into its ``probes`` nearest buckets by the lost squared length. What it meets is scored exactly on the
 original vectors in double precision; each bucket's best k are merged into the query's best k.
 
-Buckets above BLOCK rows are dealt to several tasks by vec_id, each with its own copy of the queries, so no bucket is whole in one
-task; nothing in it is left out. More ``functions`` make smaller buckets and need more probes: the defaults reach a recall above 0.95 even on
-vectors without any clusters, where each query must score over half of all rows; clustered vectors allow two functions.
+The buckets of a table lie side by side in blocks of about BLOCK rows: small buckets share one, a larger one takes several and
+its rows are dealt to them by vec_id. A query goes once to each block that holds one of its buckets, with their list, and meets
+the rows of just those. A block and at most about QUERIES queries are one task's work; beyond, the block is repeated for each part of the
+queries. Nothing is left out. Where the buckets lie is told by their sizes: a histogram of tables * axes ** functions numbers, which
+is independent of the data, checked against LAYOUT and sent to the workers.
+
+More ``functions`` make smaller buckets and need more probes: the defaults reach a recall above 0.95 even on vectors without any
+clusters, where each query must score over half of all rows; clustered vectors allow two functions.
 
 Defined results: null vectors, zero vectors and vectors with null or non-finite components take no part, nor do rows with a null vec_id. Ties
 are broken by smaller vec_id; a query's own vec_id is never its neighbour; repeated rows count once. Vectors must have one length, else an error is
-raised. No vectors or no queries: no rows. Other columns are not read.
+raised. No more than k candidates: all of them, from all buckets. No vectors or no queries: no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,13 +29,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from orderflow.session import pin
 
-TABLES, FUNCTIONS, PROBES, BLOCK, SEED = 8, 1, 32, 4_000, 9
+TABLES, FUNCTIONS, PROBES, SEED = 8, 1, 32, 9
+BLOCK, QUERIES, LAYOUT = 8_192, 32_768, 1_000_000
 #: Digits by which candidates are chosen, so that equal vectors tie; the score itself is not rounded.
 DIGITS = 10
-QUERIES_AT_ONCE = 512
+ROWS_AT_ONCE, QUERIES_AT_ONCE = 1_000, 512
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -49,6 +56,7 @@ class Rotations:
         self.dim, self.width = dim, 1 << max(1, (dim - 1).bit_length())
         signs = np.random.default_rng(seed).integers(0, 2, (tables, functions, 3, self.width))
         self.signs, self.tables, self.functions = signs * 2.0 - 1, tables, functions
+        self.buckets = (2 * self.width) ** functions
 
     def turned(self, x: np.ndarray, table: int, function: int) -> np.ndarray:
         y = np.zeros((len(x), self.width))
@@ -83,24 +91,85 @@ class Rotations:
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(vec_id long, v array<double>, norm) of the rows that take part."""
-    v = F.col(vector).cast("array<double>")
+    """(vec_id long, v array, norm) of the rows that take part; floats stay floats, all else is double."""
+    single = vectors.schema[vector].dataType == ArrayType(FloatType(), vectors.schema[vector].dataType.containsNull)
+    v = F.col(vector) if single else F.col(vector).cast("array<double>")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where("vec_id IS NOT NULL AND v IS NOT NULL")
     rows = rows.where(~F.exists("v", bad))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     return rows.withColumn("norm", F.sqrt(square)).where("norm > 0").dropDuplicates(["vec_id", "v"])
 
 
+class Layout:
+    """Blocks of the buckets: those of ``first`` to ``last``, by table and bucket; -1 where a bucket is empty."""
+
+    def __init__(self, sizes: np.ndarray, block: int):
+        end = np.cumsum(sizes, axis=1)
+        self.first = np.where(sizes > 0, (end - sizes) // block, -1)
+        self.last = np.where(sizes > 0, (end - 1) // block, -1)
+
+    def block(self, table: int, bucket: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        first = self.first[table, bucket]
+        return first + spread(ids) % (self.last[table, bucket] - first + 1)
+
+    def visits(self, table: int, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, block, bucket) of each block to visit for the buckets in the rows, ordered by row and block."""
+        row, bucket = np.repeat(np.arange(len(buckets)), buckets.shape[1]), buckets.ravel()
+        row, bucket = row[self.first[table, bucket] >= 0], bucket[self.first[table, bucket] >= 0]
+        many = self.last[table, bucket] - self.first[table, bucket] + 1
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        row, bucket = np.repeat(row, many), np.repeat(bucket, many)
+        block = self.first[table, bucket] + step
+        order = np.lexsort((bucket, block, row))
+        return row[order], block[order], bucket[order]
+
+
+def spread(ids: np.ndarray) -> np.ndarray:
+    """Non-negative numbers without the order of the ids (multiplicative hashing)."""
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
+
+
 def best_of(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of the k best of each row of ``scores``; ties to smaller ids."""
-    scores = np.where(ids[None, :] == own[:, None], -np.inf, np.round(scores, DIGITS))
-    order = np.argsort(ids, kind="stable")
-    best = order[np.argsort(-scores[:, order], axis=1, kind="stable")[:, :k]]
-    row = np.repeat(np.arange(len(scores)), best.shape[1])
-    column = best.ravel()
-    real = scores[row, column] > -np.inf
-    return row[real], column[real]
+    """Rows and columns of the k best of each row of ``scores``, whose columns have ascending ``ids``; ties to smaller ids."""
+    scores[ids[None, :] == own[:, None]] = -np.inf
+    chosen = scores > -np.inf
+    if scores.shape[1] > k:
+        least = np.partition(scores, -k, axis=1)[:, -k, None]
+        chosen &= scores >= least
+        tied = np.flatnonzero(chosen.sum(axis=1) > k)
+        some, bound = scores[tied], least[tied]
+        above, equal = some > bound, some == bound
+        chosen[tied] = above | equal & (np.cumsum(equal, axis=1) <= k - above.sum(axis=1, keepdims=True))
+    return np.nonzero(chosen)
+
+
+def best_in_block(q: np.ndarray, own: np.ndarray, asked: list[np.ndarray], x: np.ndarray, ids: np.ndarray, bucket: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best for each query among the rows of the buckets it asks for; rows are ordered by (bucket, id)."""
+    want = np.concatenate(asked)
+    who = np.repeat(np.arange(len(q)), [len(a) for a in asked])
+    order = np.argsort(want, kind="stable")
+    want, who = want[order], who[order]
+    rows, columns, nearness = [], [], []
+    for b in np.unique(want):
+        lo, hi = np.searchsorted(bucket, [b, b + 1])
+        some = who[np.searchsorted(want, b) : np.searchsorted(want, b, side="right")]
+        if lo < hi:
+            scores = np.round(q[some] @ x[lo:hi].T, DIGITS)
+            row, column = best_of(scores, ids[lo:hi], own[some], k)
+            rows.append(some[row])
+            columns.append(lo + column)
+            nearness.append(scores[row, column])
+    if not rows:
+        return pd.DataFrame({"query_id": own[:0], "vec_id": ids[:0], "score": np.zeros(0)})
+    row, column, near = np.concatenate(rows), np.concatenate(columns), np.concatenate(nearness)
+    order = np.lexsort((ids[column], -near, row))
+    row, column = row[order], column[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    row, column = row[kept], column[kept]
+    # Summed pair by pair: the same for a pair in every table and for equal vectors.
+    return pd.DataFrame({"query_id": own[row], "vec_id": ids[column], "score": (q[row] * x[column]).sum(axis=1)})
 
 
 def nearest(
@@ -113,19 +182,28 @@ def nearest(
     functions: int = FUNCTIONS,
     probes: int = PROBES,
     seed: int = SEED,
+    block: int = BLOCK,
+    queries_at_most: int = QUERIES,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k found with the largest inner product, for each row of ``queries``."""
     index = pin(usable(vectors, vec_id, vector))
-    asked = usable(queries, vec_id, vector)
+    asked = pin(usable(queries, vec_id, vector))
     facts = index.agg(F.count(F.lit(1)), F.max("norm"), F.min(F.size("v")), F.max(F.size("v"))).first()
     out = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
-    if not facts[0]:
+    number = asked.count()
+    if not facts[0] or not number:
         return spark.createDataFrame([], out)
     _, longest, dim, widest = facts
     if dim != widest:
         raise ValueError(f"vectors of {dim} and of {widest} components")
     turns = Rotations(dim + 1, tables, functions, seed)
+    if facts[0] <= k + 1:  # all candidates are asked for: look into every bucket
+        probes = turns.buckets
+    if tables * turns.buckets > LAYOUT:
+        raise ValueError(f"{tables} tables of {turns.buckets} buckets: at most {LAYOUT} buckets in all")
+    # The bytes that hold a vector exactly, on either side.
+    kinds = ["<f4" if df.schema["v"].dataType.elementType == FloatType() else "<f8" for df in (index, asked)]
 
     def lifted(v: np.ndarray, norm: np.ndarray, query: bool) -> np.ndarray:
         if query:
@@ -133,43 +211,70 @@ def nearest(
         rest = np.sqrt(np.maximum(longest * longest - norm * norm, 0))
         return np.hstack((v, rest[:, None])) / longest
 
-    def keys(query: bool):
-        def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for at in range(0, len(batch), 1000):
-                    some = batch.iloc[at : at + 1000]
-                    x = lifted(np.stack(some["v"].to_numpy()), some["norm"].to_numpy(), query)
-                    for t in range(tables):
-                        to = turns.probes(x, t, probes) if query else turns.bucket(x, t)[:, None]
-                        n = to.shape[1]
-                        yield pd.DataFrame(
-                            {"place": t, "bucket": to.ravel(), "id": np.repeat(some["vec_id"].to_numpy(), n), "v": np.repeat(some["v"].to_numpy(), n)}
-                        )
-
-        return keyed
-
-    kept = "place int, bucket long, id long, v array<double>"
-    stored = index.mapInPandas(keys(False), kept)
-    wanted = asked.mapInPandas(keys(True), kept)
-    sizes = pin(stored.groupBy("place", "bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")))
-    stored = stored.join(sizes, ["place", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    wanted = wanted.join(sizes, ["place", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    def lots(batches: Iterator[pd.DataFrame], query: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, vectors, turned input) of some rows at a time."""
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                some = batch.iloc[at : at + ROWS_AT_ONCE]
+                v = np.stack(some["v"].to_numpy()).astype(np.float64)
+                yield some["vec_id"].to_numpy(), v, lifted(v, some["norm"].to_numpy(), query)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sizes = np.zeros((tables, turns.buckets), np.int64)
+        for _, _, x in lots(batches, False):
+            for t in range(tables):
+                sizes[t] += np.bincount(turns.bucket(x, t), minlength=turns.buckets)
+        place, bucket = np.nonzero(sizes)
+        yield pd.DataFrame({"place": place, "bucket": bucket, "n": sizes[place, bucket]})
+
+    sizes = np.zeros((tables, turns.buckets), np.int64)
+    for row in index.mapInPandas(counted, "place int, bucket long, n long").groupBy("place", "bucket").agg(F.sum("n").alias("n")).collect():
+        sizes[row["place"], row["bucket"]] = row["n"]
+    layout, parts = spark.sparkContext.broadcast(Layout(sizes, block)), -(-number // queries_at_most)
+
+    def packed(v: np.ndarray, query: bool) -> np.ndarray:
+        return np.array([r.tobytes() for r in v.astype(kinds[query])], object)
+
+    def stored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for ids, v, x in lots(batches, False):
+            raw = packed(v, False)
+            for t in range(tables):
+                bucket = turns.bucket(x, t)
+                at = layout.value.block(t, bucket, ids)
+                for part in range(parts):
+                    yield pd.DataFrame({"place": t, "block": at, "part": part, "id": ids, "v": raw, "bucket": bucket})
+
+    def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for ids, v, x in lots(batches, True):
+            raw = packed(v, True)
+            for t in range(tables):
+                row, at, bucket = layout.value.visits(t, turns.probes(x, t, probes))
+                if not len(row):
+                    continue
+                new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(at) != 0)])
+                mine = row[new]
+                yield pd.DataFrame(
+                    {"place": t, "block": at[new], "part": spread(ids[mine]) % parts, "id": ids[mine], "v": raw[mine], "buckets": np.split(bucket, new[1:])}
+                )
+
+    def vectors_of(raw: pd.Series, query: bool) -> np.ndarray:
+        return np.frombuffer(b"".join(raw), kinds[query]).reshape(len(raw), -1).astype(np.float64)
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
         if len(left) and len(right):
-            x, ids = np.stack(left["v"].to_numpy()), left["id"].to_numpy()
+            left = left.sort_values(["bucket", "id"], kind="stable")
+            x, ids, bucket = vectors_of(left["v"], False), left["id"].to_numpy(), left["bucket"].to_numpy()
             for at in range(0, len(right), QUERIES_AT_ONCE):
                 some = right.iloc[at : at + QUERIES_AT_ONCE]
-                own, q = some["id"].to_numpy(), np.stack(some["v"].to_numpy())
-                row, column = best_of(q @ x.T, ids, own, k)
-                # Summed pair by pair: the same for a pair in every table and for equal vectors.
-                exact = (q[row] * x[column]).sum(axis=1)
-                found.append(pd.DataFrame({"query_id": own[row], "vec_id": ids[column], "score": exact}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    by = ["place", "bucket", "block"]
-    met = stored.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInPandas(scored, "query_id long, vec_id long, score double")
-    met = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+                found.append(best_in_block(vectors_of(some["v"], True), some["id"].to_numpy(), some["buckets"].tolist(), x, ids, bucket, k))
+        return pd.concat(found[1:] or found)
+
+    by, key = ["place", "block", "part"], "place int, block long, part long, id long, v binary"
+    rows = index.mapInPandas(stored, f"{key}, bucket long").groupBy(*by)
+    seekers = asked.mapInPandas(wanted, f"{key}, buckets array<long>").groupBy(*by)
+    met = rows.cogroup(seekers).applyInPandas(scored, "query_id long, vec_id long, score double")
+    # A query has at most k rows for each block it visits; one shuffle serves both the merge and the ranks.
+    met = met.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -417,11 +417,28 @@ def test_neighbours(spark):
     assert hits / (20 * len(got)) > 0.9
     few = frame.where("vec_id < 5 OR vec_id > 8000")
     assert [(r.vec_id, r.rank) for r in neighbours.nearest(few, few.where("vec_id = 0")).collect()].__len__() == 4
+    assert neighbours.nearest(few, few.where("vec_id = 0"), functions=2, tables=1, probes=1).count() == 4
     assert neighbours.nearest(frame.limit(0), frame.limit(0)).count() == 0
     with pytest.raises(ValueError):
         neighbours.nearest(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>"), frame)
 
 
+def test_neighbours_in_small_blocks(spark):
+    """Buckets cut into blocks and queries cut into parts find the same; floats are scored as doubles."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 16)).astype(np.float32)
+    x[100:400] = x[100]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    asked = frame.where("vec_id % 5 = 0")
+    rows = lambda **how: sorted(tuple(r) for r in neighbours.nearest(frame, asked, 5, **how).collect())
+    whole = rows()
+    assert rows(block=40, queries_at_most=30) == whole
+    assert {q for q, *_ in whole} == set(range(0, 600, 5)) and len(whole) == 600
+    wide = x.astype(np.float64)
+    assert all(abs(s - wide[q] @ wide[v]) < 1e-12 for q, _, v, s in whole)
+    assert [v for q, _, v, _ in whole if q == 200] == [100, 101, 102, 103, 104]
+
+
 # --- byte-level BPE
 
 
