@@ -6,7 +6,7 @@ signs and a fast Hadamard transform) and assigns them to the nearest signed axis
 bucket. A query looks into its ``probes`` nearest buckets by the lost squared length. What it meets is scored exactly on the
 original vectors in double precision; each bucket's best k are merged into the query's best k.
 
-The buckets of a table lie side by side in blocks of about BLOCK rows: small buckets share one, a larger one takes several and
+The buckets of a table lie side by side in blocks of about BLOCK_BYTES of vectors: small buckets share one, a larger one takes several and
 its rows are dealt to them by vec_id. A query goes once to each block that holds one of its buckets, with their list, and meets
 the rows of just those. A block and at most about QUERIES queries are one task's work; beyond, the block is repeated for each part of the
 queries. Nothing is left out. Where the buckets lie is told by their sizes: a histogram of tables * axes ** functions numbers, which
@@ -34,7 +34,9 @@ from pyspark.sql.types import ArrayType, FloatType
 from orderflow.session import pin
 
 TABLES, FUNCTIONS, PROBES, SEED = 8, 1, 32, 9
-BLOCK, QUERIES, LAYOUT = 8_192, 32_768, 1_000_000
+#: A task's vectors as doubles, its queries, and the scores it holds at once.
+BLOCK_BYTES, QUERIES, SCORES_AT_ONCE = 32 << 20, 32_768, 4_000_000
+LAYOUT = 1_000_000
 #: Digits by which candidates are chosen, so that equal vectors tie; the score itself is not rounded.
 DIGITS = 10
 ROWS_AT_ONCE, QUERIES_AT_ONCE = 1_000, 512
@@ -155,10 +157,11 @@ def best_in_block(q: np.ndarray, own: np.ndarray, asked: list[np.ndarray], x: np
     for b in np.unique(want):
         lo, hi = np.searchsorted(bucket, [b, b + 1])
         some = who[np.searchsorted(want, b) : np.searchsorted(want, b, side="right")]
-        if lo < hi:
-            scores = np.round(q[some] @ x[lo:hi].T, DIGITS)
-            row, column = best_of(scores, ids[lo:hi], own[some], k)
-            rows.append(some[row])
+        step = max(1, SCORES_AT_ONCE // max(1, hi - lo))
+        for part in (some[at : at + step] for at in range(0, len(some), step) if lo < hi):
+            scores = np.round(q[part] @ x[lo:hi].T, DIGITS)
+            row, column = best_of(scores, ids[lo:hi], own[part], k)
+            rows.append(part[row])
             columns.append(lo + column)
             nearness.append(scores[row, column])
     if not rows:
@@ -182,7 +185,7 @@ def nearest(
     functions: int = FUNCTIONS,
     probes: int = PROBES,
     seed: int = SEED,
-    block: int = BLOCK,
+    block: int | None = None,
     queries_at_most: int = QUERIES,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k found with the largest inner product, for each row of ``queries``."""
@@ -197,6 +200,7 @@ def nearest(
     _, longest, dim, widest = facts
     if dim != widest:
         raise ValueError(f"vectors of {dim} and of {widest} components")
+    block = block or max(1, BLOCK_BYTES // (8 * dim))
     turns = Rotations(dim + 1, tables, functions, seed)
     if facts[0] <= k + 1:  # all candidates are asked for: look into every bucket
         probes = turns.buckets
