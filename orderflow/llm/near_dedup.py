@@ -168,7 +168,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id and text_hash (xxhash64 of the text) for every row."""
+    """doc_id, fingerprint (hex), component_id, text_hash (xxhash64 of the text) and label (the component's least
+    fingerprint, which tells components apart also where they have the same smallest doc_id or none) for every row."""
     rows = pin(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(or_empty(text), words).alias("fp"), F.xxhash64(or_empty(text)).alias("text_hash")))
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     joined = components(links(prints.select("fp"), radius))
@@ -176,18 +177,17 @@ def near_duplicates(
         "fp", "first", F.coalesce("least", "fp").alias("label")
     )
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    known = labelled.join(least, "label").select("fp", "component_id")
+    known = labelled.join(least, "label").select("fp", "component_id", "label")
     return rows.join(known, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash", "label"
     )
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component; repeated rows once."""
+    """One row of ``docs`` for each component: the smallest doc_id, nulls last, and of its texts that of the least hash."""
     found = near_duplicates(docs, doc_id, text, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("component_id").alias("_in"))
-    # A component has one smallest doc_id; where several of its texts carry it, one of them stays.
-    kept = kept.groupBy("_id", "_in").agg(F.min("_hash").alias("_hash")).drop("_in").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    kept = found.groupBy("label").agg(first.alias("first")).select("first._id", "first._hash")
     hashed = docs.withColumn("_text_hash", F.xxhash64(or_empty(text)))
     rows = hashed.join(kept, hashed[doc_id].eqNullSafe(kept["_id"]) & (hashed["_text_hash"] == kept["_hash"]), "left_semi")
     return rows.dropDuplicates([doc_id, "_text_hash"]).drop("_text_hash")
