@@ -1,0 +1,148 @@
+"""Texts whose sets of word shingles have at least a given Jaccard similarity, found by SimHash at a wide radius.
+
+Sets of Jaccard similarity s make SimHashes that differ in about 64 / pi * acos(2 s / (1 + s)) bits: 9.7 at 0.8. A radius
+of 16 bits holds 99 % of such pairs, and more of those that are closer. So wide, coordinate keys of GROUPS > radius
+groups no longer choose: a pair would meet under more than one key in the mean. Texts are therefore brought together by
+the size of their shingle sets, which differs by no more than the factor s, in buckets of that width: each pair of blocks of a bucket, or
+of two neighbouring ones, is one task. Pairs in it are verified by their bits; by the triangle inequality those within the
+radius pass the coordinate filter of all pivots, so it would discard nothing more.
+
+What remains is discarded by a bound (shingles counted by SLOTS values of their hash differ by no more than the sets do)
+and verified by the exact Jaccard similarity of the sets of 64-bit shingle hashes. Texts that passed the bound go once to each
+task where they did; a task verifies only pairs that it hasn't connected yet. Comparisons of bits grow with the square of a bucket.
+
+Defined results: shingles as in ``near_dedup``; texts without words are similar to each other only.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from orderflow.session import pin
+
+SLOTS, BLOCK = 64, 8192
+#: Buckets are wider than the factor by this, so that rounding doesn't part pairs on the bound.
+WIDER, CLOSE = 1.001, 1e-9
+TASK = ["low", "i", "high", "j"]
+PACKED = np.dtype([("hash", "<i8"), ("fp", "<i8"), ("n", "<i4"), ("counts", "u1", SLOTS)])
+
+
+def slot_counts(shingles: np.ndarray) -> np.ndarray:
+    return np.minimum(np.bincount((shingles % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS), 255).astype(np.uint8)
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Of sorted distinct shingle hashes."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - CLOSE
+
+
+@dataclass
+class Pairs:
+    """Candidates among ``left``, or between ``left`` and ``right``; both PACKED and ordered by n."""
+
+    left: np.ndarray
+    right: np.ndarray | None
+    radius: int
+    similarity: float
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        left, other = self.left, self.left if self.right is None else self.right
+        fp, n, counts = (np.ascontiguousarray(other[c]) for c in ("fp", "n", "counts"))
+        first = np.searchsorted(n, self.similarity * left["n"] - CLOSE, "left")
+        last = np.searchsorted(n, left["n"] / self.similarity + CLOSE, "right")
+        for i in range(len(left)):
+            a, b = int(first[i]) if self.right is not None else i + 1, int(last[i])
+            if a >= b:
+                continue
+            near = a + np.flatnonzero(np.bitwise_count((fp[a:b] ^ left["fp"][i]).view(np.uint64)) <= self.radius)
+            if len(near):
+                apart = np.abs(counts[near].astype(np.int16) - left["counts"][i]).sum(axis=1)
+                most = (n[near] + left["n"][i]) * (1 - self.similarity) / (1 + self.similarity)
+                near = near[apart <= most + CLOSE]
+            if len(near):
+                yield i, near
+
+
+def packed(group: pd.DataFrame) -> np.ndarray:
+    out = np.empty(len(group), PACKED)
+    out["hash"], out["fp"], out["n"] = group["text_hash"], group["fp"], group["n"]
+    out["counts"] = np.frombuffer(b"".join(group["counts"]), np.uint8).reshape(-1, SLOTS)
+    return out
+
+
+def verified(left: np.ndarray, right: np.ndarray | None, shingles: list[np.ndarray], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Links (hash, hash) of similar texts that join something new; ``shingles`` of ``left``, then of ``right``."""
+    shift, hashes = (0, left["hash"]) if right is None else (len(left), np.concatenate((left["hash"], right["hash"])))
+    label, out = np.arange(len(hashes)), []
+    for i, near in Pairs(left, right, radius, similarity):
+        near = near + shift
+        near = near[label[near] != label[i]]
+        while len(near):
+            j, near = int(near[0]), near[1:]
+            if similar(shingles[i], shingles[j], similarity):
+                label[label == label[j]] = label[i]
+                near = near[label[near] != label[i]]
+                out.append((int(hashes[i]), int(hashes[j])))
+    return out
+
+
+def links(nodes: DataFrame, texts: DataFrame, sketch: Column, radius: int, similarity: float) -> DataFrame:
+    """(u, v) of ``nodes`` (distinct text_hash; fp, n, counts): links enough to connect all that differ in at most ``radius`` bits
+    and are similar. ``texts`` has text_hash and what ``sketch`` (fp, n, counts, shingles) needs."""
+    width = WIDER * -math.log(similarity)
+    nodes = nodes.withColumn("b", F.when(F.col("n") > 0, F.floor(F.log("n") / F.lit(width))).otherwise(-2).cast("int"))
+    sizes = pin(nodes.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")))
+    dealt = nodes.join(sizes, "b").withColumn("block", F.pmod("text_hash", "blocks").cast("int"))
+
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"b": [key[0]], "block": [key[1]], "data": [packed(group.sort_values(["n", "text_hash"])).tobytes()]})
+
+    blocks = pin(dealt.groupBy("b", "block").applyInPandas(pack, "b int, block int, data binary"))
+    more = [sizes.select((F.col("b") - d).alias("b"), F.col("blocks").alias(name)) for d, name in ((0, "own"), (1, "up"), (-1, "down"))]
+    for size in more:
+        blocks = blocks.join(size, "b", "left")
+
+    def others(count: str) -> Column:
+        n = F.coalesce(F.col(count), F.lit(0))
+        return F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1))).alias("o")
+
+    own, up, down = (blocks.select("b", "block", "data", others(c)) for c in ("own", "up", "down"))
+    b, block, o = F.col("b"), F.col("block"), F.col("o")
+    tasks = own.select(b.alias("low"), F.least(block, o).alias("i"), b.alias("high"), F.greatest(block, o).alias("j"), (block <= o).alias("left"), "data")
+    tasks = tasks.unionByName(up.select(b.alias("low"), block.alias("i"), (b + 1).alias("high"), o.alias("j"), F.lit(True).alias("left"), "data"))
+    tasks = tasks.unionByName(down.select((b - 1).alias("low"), o.alias("i"), b.alias("high"), block.alias("j"), F.lit(False).alias("left"), "data"))
+
+    def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        sides = {bool(s): np.frombuffer(d, PACKED) for s, d in zip(group["left"], group["data"], strict=True)}
+        left, right = sides[True], sides.get(False)
+        ours, theirs = np.zeros(len(left), bool), np.zeros(len(left if right is None else right), bool)
+        for i, near in Pairs(left, right, radius, similarity):
+            ours[i] = theirs[near] = True
+        if right is None:
+            ours |= theirs
+        found = [(left["hash"][ours], True)] + ([] if right is None else [(right["hash"][theirs], False)])
+        out = pd.concat([pd.DataFrame({"text_hash": h, "left": s}) for h, s in found])
+        for name, value in zip(TASK, key, strict=True):
+            out[name] = value
+        return out
+
+    met = pin(tasks.groupBy(*TASK).applyInPandas(meet, "text_hash long, left boolean, low int, i int, high int, j int"))
+    known = texts.join(met.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    known = known.select("text_hash", sketch.alias("s")).select("text_hash", "s.fp", "s.n", "s.counts", "s.shingles")
+
+    def verify(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        parts = [p.sort_values(["n", "text_hash"]) for p in (group[group["left"]], group[~group["left"]]) if len(p)]
+        sets = [np.frombuffer(s, "<u8") for p in parts for s in p["shingles"]]
+        sides = [packed(p) for p in parts]
+        found = verified(sides[0], sides[1] if len(sides) > 1 else None, sets, radius, similarity)
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    return met.join(known, "text_hash").groupBy(*TASK).applyInPandas(verify, "u long, v long")

@@ -1,6 +1,7 @@
 """The stages against plain versions of what they decide, on the smallest table and on messy rows."""
 
 import base64
+import random
 import re
 
 import public_tokenizers
@@ -47,3 +48,29 @@ def test_messy_and_empty_rows(spark, tiny):
         for (_, stage), n in zip(corpus_pipeline.STAGES, counts, strict=True):
             docs = stage(spark, docs, tiny)
             assert docs.count() == n
+
+
+def test_near_duplicates_equal_brute_force_jaccard(spark, tiny):
+    """Texts edited in many places: kept is what single links of exact Jaccard >= 0.8 on five words leave."""
+    rng, rows = random.Random(3), []
+    for r in spark.read.parquet(f"{tiny}/documents.parquet").where("doc_id < 60").orderBy("doc_id").collect():
+        words = r.text.split()[:400]
+        rows.append((r.doc_id, " ".join(words)))
+        for k, share in enumerate((0.004, 0.012, 0.02, 0.04)):
+            rows.append((1000 * (k + 1) + r.doc_id, " ".join(f"w{rng.random()}" if rng.random() < share else w for w in words)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in rows for w in [t.lower().split()]}
+    ids, root, close, met = sorted(sets), {i: i for i in sets}, 0, 0
+    prints = {i: near_dedup.simhash(t, 5) for i, t in rows}
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                apart = ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count()
+                close, met = close + 1, met + (apart <= corpus_pipeline.RADIUS)
+                if apart <= corpus_pipeline.RADIUS:
+                    low, high = sorted((root[a], root[b]))
+                    root = {i: low if r == high else r for i, r in root.items()}
+    assert met >= 0.97 * close > 100
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, tiny).collect()}
+    assert kept == set(root.values())
