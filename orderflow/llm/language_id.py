@@ -2,8 +2,10 @@
 
 For each language a suffix automaton of labelled text knows every substring of it. A word of a new text
 is parsed greedily into the longest phrases that each automaton knows; few phrases mean a familiar
-language. The entropy of a text in a language is phrases * log2(characters learned from) / characters,
-summed over all words of the whole text; the language with the lowest wins, the first by name on ties.
+language. The entropy of a text in a language is (phrases + unknown characters) * bits / characters, summed over
+all words of the whole text, with the same bits for every language: log2 of the most characters that any was learned from.
+So phrases don't become cheap by learning little, and a character the language never showed costs its phrase and a literal. The
+language with the lowest entropy wins, the first by name on ties.
 The parse starts anew at each word, so it measures how words are built, not which ones follow.
 
 The automata are learned from a bounded sample: whole documents in the order of a hash of (doc_id, text), at
@@ -110,7 +112,7 @@ class Automaton:
 class Identifier:
     def __init__(self, automata: list[Automaton]):
         self.automata = sorted(automata, key=lambda a: a.lang)
-        self.bits = np.array([math.log2(max(a.learned, 2)) for a in self.automata])
+        self.bits = math.log2(max([a.learned for a in self.automata], default=2))
 
     def count(self, words: list[str]) -> np.ndarray:
         whole = sorted(((" " + w, n) for n, w in enumerate(words)), key=lambda x: -len(x[0]))
@@ -123,6 +125,16 @@ class Identifier:
             out[place, k] = a.phrases(code, start, length)
         return out
 
+    def costs(self, words: list[str]) -> np.ndarray:
+        """Phrases and unknown characters of each word in each language."""
+        out = self.count(words)
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        start = np.cumsum([0, *map(len, words)])
+        for k, a in enumerate(self.automata):
+            unknown = np.concatenate(([0], np.cumsum(~np.isin(code, a.codes))))
+            out[:, k] += unknown[start[1:]] - unknown[start[:-1]]
+        return out
+
     def judge(self, phrases: np.ndarray, characters: int) -> tuple[str, float]:
         if not characters or not len(self.automata):
             return UNKNOWN, 0.0
@@ -148,7 +160,7 @@ class Seen:
             self.counts = np.concatenate((self.counts, np.zeros_like(self.counts)))
         for k in range(0, len(new), BATCH):
             some = new[k : k + BATCH]
-            self.counts[n + k : n + k + len(some)] = model.count(some)
+            self.counts[n + k : n + k + len(some)] = model.costs(some)
         self.place.update(zip(new, range(n, n + len(new)), strict=True))
 
 
