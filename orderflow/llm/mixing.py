@@ -2,8 +2,11 @@
 
 Tokens are summed up by cell (source, language, topic). The cell weights are raked: scaled so that the sums by source
 meet their targets, then by language, then by topic, and again until all three hold. A document of cell c is kept with
-probability weight[c] / tokens[c], divided by the largest of these ratios, so that none is above 1 and the expected token shares
-of the sample are the fitted ones. Who is kept depends on a hash of doc_id and the seed alone.
+probability weight[c] / tokens[c]. With ``share``, the expected part of all tokens in the sample, targets are scaled to it and
+no weight goes above its cell's tokens: such cells have probability 1 and the others are raked to what is left. A value whose
+cells are all used up stays under its target; ``unmet`` has these and margins that the rounds didn't bring to their targets,
+and they are logged. With targets but no ``share`` ratios are divided by the largest, so the expected token shares are exactly the fitted
+ones but one rare cell sets the size of the sample. Who is kept depends on a hash of doc_id and the seed alone.
 
 Everything is done on the table of cells, which stays in Spark; factors are joined by key. Cell probabilities are
 broadcast only if their counted number is at most BROADCAST_CELLS, else joined by shuffle.
@@ -16,6 +19,7 @@ to the power TEMPER, scaled to sum 1. Repeated rows are decided alike. All colum
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +29,9 @@ from orderflow.llm.common import keep_names, or_empty
 from orderflow.session import pin
 
 TEMPER, ROUNDS, TOLERANCE, BROADCAST_CELLS = 0.9, 40, 1e-4, 20_000
+#: Expected part of the tokens in the sample of the query and the pipeline; values reported of unmet targets.
+SHARE, REPORTED = 0.6, 20
+LOG = logging.getLogger(__name__)
 NONE = "(none)"
 #: Topic of a text: the first whose mark occurs in it, else OTHER.
 TOPIC_MARKS = [
@@ -62,28 +69,43 @@ def target_shares(cells: DataFrame, dim: str, target: Mapping[str, float] | None
     return pin(wanted.select(dim, (F.col("wanted") * scale).alias("target")))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Cells (dims, tokens) with the fitted ``weight``; cells without tokens have weight 0."""
+def margins(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """(dim, value, target, reached, off, full): fitted tokens of each value, and whether its cells are all used up."""
+    every = None
+    for dim, target in targets.items():
+        sums = cells.groupBy(dim).agg(F.sum("weight").alias("reached"), F.sum("tokens").alias("all")).join(target, dim)
+        off = F.abs(F.col("reached") / F.col("target") - 1).alias("off")
+        full = ((F.col("reached") < F.col("target")) & (F.col("reached") >= F.col("all") * (1 - 1e-9))).alias("full")
+        some = sums.select(F.lit(dim).alias("dim"), F.col(dim).alias("value"), "target", "reached", off, full)
+        every = some if every is None else every.unionByName(some)
+    return every
+
+
+def rake(
+    cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE, bounded: bool = False
+) -> DataFrame:
+    """Cells (dims, tokens) with the fitted ``weight``; cells without tokens have weight 0. Bounded: no weight is above its
+    tokens, and values whose cells are all used up are not waited for."""
     now = pin(cells.withColumn("weight", F.col("tokens").cast("double")))
     for _ in range(rounds):
-        off = [
-            now.groupBy(dim).agg(F.sum("weight").alias("sum")).join(target, dim).select(F.abs(F.col("sum") / F.col("target") - 1).alias("off"))
-            for dim, target in targets.items()
-        ]
-        every = off[0]
-        for more in off[1:]:
-            every = every.unionByName(more)
-        worst = every.agg(F.max("off")).first()[0]
+        every = margins(now, targets)
+        worst = every.agg(F.max(F.when(F.col("full"), 0.0).otherwise(F.col("off")) if bounded else F.col("off"))).first()[0]
         if worst is None or worst <= tolerance:
             break
         for dim, target in targets.items():
             sums = now.groupBy(dim).agg(F.sum("weight").alias("sum")).join(target, dim)
             factor = sums.select(dim, (F.col("target") / F.col("sum")).alias("factor"))
-            now = now.join(factor, dim, "left").withColumn("weight", F.coalesce(F.col("weight") * F.col("factor"), F.lit(0.0))).drop("factor")
+            weight = F.coalesce(F.col("weight") * F.col("factor"), F.lit(0.0))
+            now = now.join(factor, dim, "left").withColumn("weight", F.least(weight, F.col("tokens").cast("double")) if bounded else weight).drop("factor")
         now = pin(now)
     return now
 
 
+def unmet(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+    """The rows of ``margins`` further from their targets than the tolerance; where not full, rounds ran out."""
+    return margins(cells, targets).where(F.col("off") > tolerance)
+
+
 def with_probabilities(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]] | None = None,
@@ -95,8 +117,13 @@ def with_probabilities(
     lang: str = "lang",
     topic: Column | None = None,
     rounds: int = ROUNDS,
+    share: float | None = None,
 ) -> DataFrame:
-    """Adds topic, tokens, probability and sampled to every row."""
+    """Adds topic, tokens, probability and sampled to every row. ``share``: expected part of all tokens in the sample,
+    SHARE if neither it nor targets are given; with given targets and no share, token shares are exact and the size is free."""
+    share = SHARE if share is None and targets is None else share
+    if share is not None and not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
     body = or_empty(text)
     dims = {
         "_source": F.coalesce(F.col(source).cast("string"), F.lit(NONE)),
@@ -107,10 +134,15 @@ def with_probabilities(
     cells = pin(named.groupBy(*dims).agg(F.sum("_tokens").alias("tokens")))
     given = targets or {}
     wanted = {d: target_shares(cells, d, given.get(d[1:]), temper) for d in dims}
-    fitted = rake(cells, wanted, rounds)
+    if share is not None:
+        wanted = {d: w.withColumn("target", F.col("target") * F.lit(share)) for d, w in wanted.items()}
+    fitted = rake(cells, wanted, rounds, bounded=share is not None)
+    for r in unmet(fitted, wanted).orderBy(F.desc("off"), "dim", "value").limit(REPORTED).collect():
+        why = "all its documents are kept" if r["full"] else "rounds ran out"
+        LOG.warning("mixing: %s %s has %.1f of %.1f target tokens: %s", r["dim"][1:], r["value"], r["reached"], r["target"], why)
     ratios = fitted.select(*dims, F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0).alias("ratio"))
-    largest = ratios.agg(F.max("ratio")).first()[0] or 1.0
-    chances = ratios.select(*dims, (F.col("ratio") / F.lit(largest)).alias("probability"))
+    largest = 1.0 if share is not None else ratios.agg(F.max("ratio")).first()[0] or 1.0
+    chances = ratios.select(*dims, F.least(F.col("ratio") / F.lit(largest), F.lit(1.0)).alias("probability"))
     if fitted.count() <= BROADCAST_CELLS:
         chances = F.broadcast(chances)
     # 53 bits of the hash as a number in [0, 1).

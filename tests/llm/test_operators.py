@@ -206,6 +206,16 @@ def test_languages(docs, none, spark, tiny):
     assert {r.lang_pred for r in language_id.with_language(docs, language_id.fit(none)).collect()} == {"und"}
 
 
+def test_a_tiny_language_wins_no_foreign_text():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    of = language_id.Automaton.of
+    for tiny in (" ok ", " the ok note ", " one short row here with few words "):
+        model = language_id.Identifier([of("en", " " + " ".join(words * 5) + " "), of("aa", tiny)])
+        found = language_id.identify([" ".join(rng.sample(words, 40)) for _ in range(30)], model, tiny)
+        assert {lang for lang, _ in found} == {"en"}
+
+
 def test_held_out_accuracy(spark):
     whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     judged = language_id.with_language(whole, language_id.fit(whole)).where(language_id.held_out())
@@ -398,6 +408,16 @@ def test_raking_equals_numpy(spark, corpus, docs, none):
     assert mixing.with_probabilities(none).count() == 0
 
 
+def test_one_rare_document_moves_no_other(spark, corpus):
+    names = ["doc_id", "text", "source", "lang"]
+    rare = spark.createDataFrame([(99_999, "word @ " * 25, "new", "xx")], "doc_id long, text string, source string, lang string")
+    before, after = (
+        {r.doc_id: r.probability for r in mixing.with_probabilities(df, share=0.6, rounds=6).collect()}
+        for df in (corpus.select(names), corpus.select(names).unionByName(rare))
+    )
+    assert after[99_999] == 1 and all(abs(after[i] - p) < 0.01 for i, p in before.items())
+
+
 # --- neighbours
 
 
