@@ -43,7 +43,7 @@ from orderflow.operators.evaluate import (
     regression_metrics,
 )
 from orderflow.operators.ordering import medians
-from orderflow.session import pin
+from orderflow.session import pin_partitions
 
 FEATURES, LABEL, WEIGHT = "features", "_label", "_weight"
 CLASS_TARGET, DAYS_TARGET = "_late", "_days"
@@ -316,7 +316,7 @@ def prepare(
             F.col(contract.regression_target).cast("double").alias(DAYS_TARGET),
             weight.alias(WEIGHT),
         )
-        return pin(ready.repartition(partitions, "_key").sortWithinPartitions("_key").drop("_key"))
+        return pin_partitions(ready.repartition(partitions, "_key").sortWithinPartitions("_key").drop("_key"))
 
     return Prepared(fitted, narrow(train), narrow(validation), engineered)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +53,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def _folder(spark: SparkSession, path: str):
+    """The folder and its file system, as the JVM knows them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later reads see one fixed result, also after executors are lost."""
+    """The rows as Parquet files below the checkpoint folder: later reads see one fixed result, also after executors are lost.
+
+    Unlike ``checkpoint``, which keeps the *estimated* size of the plan it cuts, this gives the planner the size of the
+    files. In a loop that joins a table with its own aggregates the estimate squares itself each round, until planning
+    alone doesn't end. The files go when the application ends, or earlier by ``unpin``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    where, files = _folder(spark, path)
+    files.deleteOnExit(where)
+    pinned = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[pinned] = path
+    return pinned
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Delete what ``pin`` wrote for these frames; nothing built on them may be read any more."""
+    for df in frames:
+        path = _FOLDERS.pop(df, None)
+        if path:
+            where, files = _folder(df.sparkSession, path)
+            files.delete(where, True)
+
+
+def pin_partitions(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, for rows whose dealing to partitions and order in them must stay."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
