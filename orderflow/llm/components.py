@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.session import pin
+from orderflow.session import pin, unpin
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, least): the smallest node reachable from each node of ``edges`` (u, v) that isn't smallest itself.
 
     Stars are alternately formed towards larger and smaller neighbours until nothing moves; every round is one
-    table of at most as many edges as before, checkpointed. Nodes with very many neighbours are only ever aggregated and joined by key."""
+    table of at most as many edges as before, written and read again. Nodes with very many neighbours are only ever aggregated and joined by key."""
     now = pin(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
     def state(df: DataFrame) -> tuple:
@@ -37,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     before = state(now)
     while before[0]:
-        now = pin(_star(_star(now, True), False))
+        earlier, now = now, pin(_star(_star(now, True), False))
+        unpin(earlier)
         after = state(now)
         if after == before:
             break

@@ -28,15 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from orderflow.llm import similar_texts
 from orderflow.llm.common import or_empty, pieces
 from orderflow.llm.components import components
 from orderflow.session import pin
 
 WORDS, SEED, RADIUS = 3, 42, 3
 BLOCK_BITS, GROUPS = 2, 6
-#: Radius and least Jaccard similarity by words of a shingle; sets of similarity 0.8 differ in 9.7 bits in the mean, and 16 hold 99 %.
-SETTINGS: dict[int, tuple[int, float | None]] = {WORDS: (RADIUS, None), 5: (16, 0.8)}
 FEW, BLOCK = 16, 1024
 SHINGLES_AT_ONCE = 100_000
 
@@ -73,22 +70,6 @@ def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return majority(shingle_hashes(text, words, seed))
 
 
-def sketch(text: Column, words: int, shingles: bool, seed: int = SEED) -> Column:
-    """fp, n (distinct shingles), counts of them for ``similar_texts``, and, if wanted, their sorted hashes."""
-
-    @F.pandas_udf("fp long, n int, counts binary, shingles binary")
-    def sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in (p for batch in batches for p in pieces(batch)):
-            out = []
-            for t in batch:
-                hashes = list(shingle_hashes(t, words, seed))
-                some = np.unique(np.concatenate(hashes)) if hashes else np.empty(0, "<u8")
-                out.append((majority(hashes), len(some), similar_texts.slot_counts(some).tobytes(), some.tobytes() if shingles else None))
-            yield pd.DataFrame(out, columns=["fp", "n", "counts", "shingles"])
-
-    return sketched(text)
-
-
 def fingerprint(text: Column, words: int = WORDS, seed: int = SEED) -> Column:
     @F.pandas_udf("long")
     def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -196,17 +177,9 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return small.unionByName(large.groupBy("key", "i", "j").applyInPandas(linked, "u long, v long"))
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int | None = None, similarity: float | None = None
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (hex), component_id, text_hash (xxhash64 of the text) and label (the component's least
-    fingerprint, which tells components apart also where they have the same smallest doc_id or none) for every row.
-    With ``similarity`` see ``similar_documents``. Without a radius both are those of SETTINGS."""
-    if radius is None:
-        radius, default = SETTINGS.get(words, (RADIUS, None))
-        similarity = default if similarity is None else similarity
-    if similarity is not None:
-        return similar_documents(docs, doc_id, text, words, radius, similarity)
+    fingerprint, which tells components apart also where they have the same smallest doc_id or none) for every row."""
     rows = pin(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(or_empty(text), words).alias("fp"), F.xxhash64(or_empty(text)).alias("text_hash")))
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     joined = components(links(prints.select("fp"), radius))
@@ -220,22 +193,6 @@ def near_duplicates(
     )
 
 
-def similar_documents(docs: DataFrame, doc_id: str, text: str, words: int, radius: int, similarity: float) -> DataFrame:
-    """The columns of ``near_duplicates``; a component is of texts linked at ``radius`` bits and at least ``similarity``,
-    its label the least text_hash."""
-    body = or_empty(text)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("text_hash"), sketch(body, words, False).alias("s"))
-    rows = pin(rows.select("doc_id", "text_hash", "s.fp", "s.n", "s.counts"))
-    nodes = rows.drop("doc_id").dropDuplicates(["text_hash"])
-    texts = docs.select(F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    joined = components(similar_texts.links(nodes, texts, sketch(F.col("text"), words, True), radius, similarity))
-    labelled = rows.join(joined, rows.text_hash == joined.node, "left").withColumn("label", F.coalesce("least", "text_hash"))
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(least, "label").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash", "label"
-    )
-
-
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for each component: the smallest doc_id, nulls last, and of its texts that of the least hash."""
     found = near_duplicates(docs, doc_id, text, **options)
