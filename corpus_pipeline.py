@@ -17,8 +17,6 @@ from orderflow.llm import byte_bpe, language_id, mixing, near_dedup
 from orderflow.llm.queries import RANKS
 from orderflow.session import ensure_checkpoint_dir
 
-SHINGLE_WORDS = 5
-RADIUS, SIMILARITY = near_dedup.SETTINGS[SHINGLE_WORDS]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +26,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies: linked by a Jaccard similarity of at least SIMILARITY on shingles of
-    five words, among pairs within RADIUS bits."""
-    return near_dedup.one_of_each(docs, words=SHINGLE_WORDS, radius=RADIUS, similarity=SIMILARITY).select(*docs.columns)
+    """The first document of each group of near copies: fingerprints of three-word shingles, linked at three or fewer
+    differing bits, as in op6."""
+    return near_dedup.one_of_each(docs, words=near_dedup.WORDS, radius=near_dedup.RADIUS).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
