@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import byte_bpe, fingerprints, html_text, language_id, mixing, near_dedup, neighbours, piece_counts, sharding, url_filter
+from orderflow.llm import byte_bpe, fingerprints, html_text, language_id, line_dedup, mixing, near_dedup, neighbours, piece_counts, prefix_trie, ranked_search, sharding, url_filter
 from orderflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.with_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
     )
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.without_repeated_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
