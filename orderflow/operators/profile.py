@@ -1,7 +1,7 @@
 """Summaries of columns and of the targets by group.
 
 Columns are unpivoted to (column, value) so that one job profiles all of them, whatever their
-number, and order statistics come from the running counts of distinct values.
+number; no row is shuffled or stored for an order statistic.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.columns import cells_above, count_where, finite, number_sql
 from orderflow.functions.derived import MISSING
-from orderflow.operators.ordering import prefix_sums, quantiles, quantiles_of_ranked, ranked_values
+from orderflow.operators.ordering import brackets, prefix_sums, quantiles, quantiles_in_brackets
 from orderflow.session import pin
 
 # Percentiles of the numeric summary, the outlier fence and the number of top groups.
@@ -61,8 +61,8 @@ def date_range(df: DataFrame, time: str) -> DataFrame:
 
 def target_distribution(df: DataFrame, measure: str) -> DataFrame:
     """Minimum, mean, exact median and 95th percentile, maximum."""
-    ranked = ranked_values(df.select(finite(measure).alias("value")).withColumn("measure", F.lit(measure)), "value", ["measure"])
-    spread = quantiles_of_ranked(ranked, "value", {"median_value": 0.5, "p95_value": 0.95}, ["measure"])
+    values = df.select(F.lit(measure).alias("measure"), finite(measure).alias("value"))
+    spread = quantiles(values, "value", {"median_value": 0.5, "p95_value": 0.95}, ["measure"])
     basic = df.agg(
         F.lit(measure).alias("measure"),
         F.min(measure).alias("minimum_value"),
@@ -73,49 +73,48 @@ def target_distribution(df: DataFrame, measure: str) -> DataFrame:
 
 
 def numerical_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts, moments, percentiles, bias-corrected skewness, outliers and negatives per column."""
+    """Counts, moments, percentiles, bias-corrected skewness, outliers and negatives per column.
+
+    Three passes over the values, each summed up to one row per column before it is shuffled: moments together with the sketch
+    that brackets the percentiles, the values inside the brackets, and the values beyond the fences."""
     values = long_numbers(df, columns)
-    present = values.groupBy("column_name").agg(
-        F.count("value").alias("non_missing_count"), count_where(F.col("value").isNull()).alias("missing_count")
-    )
-    ranked = pin(ranked_values(values, "value", ["column_name"]).select("column_name", "value", "n", "n_before", "n_total"))
-    v, n = F.col("value"), F.col("n")
-    spread = quantiles_of_ranked(ranked, "value", PERCENTILES, ["column_name"])
-    level = ranked.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        (F.sum(v * n) / F.sum("n")).alias("mean"),
-        F.min(v).alias("minimum"),
-        F.max(v).alias("maximum"),
-        F.coalesce(F.sum(F.when(v < 0, n)), F.lit(0)).alias("negative_count"),
+    v, name = F.col("value"), "column_name"
+    found = brackets(
+        values,
+        "value",
+        PERCENTILES,
+        [name],
+        missing_count=count_where(v.isNull()),
+        mean=F.avg(v),
+        std=F.stddev_samp(v),
+        shape=F.skewness(v),
+        minimum=F.min(v),
+        maximum=F.max(v),
+        negative_count=count_where(v < 0),
     )
-    bounds = level.join(spread, "column_name")
-    gap, width = v - F.col("mean"), F.col("p75") - F.col("p25")
+    found = pin(found)
+    spread = pin(quantiles_in_brackets(values, "value", found, PERCENTILES, [name]))
+    width = F.col("p75") - F.col("p25")
     outside = (v < F.col("p25") - width * FENCE) | (v > F.col("p75") + width * FENCE)
-    # One row per column: the second look at the values joins a table of the columns' own statistics.
-    shape = (
-        ranked.join(F.broadcast(bounds.select("column_name", "mean", "p25", "p75")), "column_name")
-        .groupBy("column_name")
-        .agg(
-            F.sum(n * gap * gap).alias("m2"),
-            F.sum(n * gap * gap * gap).alias("m3"),
-            F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("iqr_outlier_count"),
-        )
-    )
-    rows = F.col("rows").cast("double")
-    correction = F.sqrt(rows * (rows - 1)) / (rows - 2)
-    skew = F.when((rows > 2) & (F.col("m2") > 0), correction * F.sqrt(rows) * F.col("m3") / F.pow("m2", F.lit(1.5)))
-    described = bounds.join(shape, "column_name").select(
-        "column_name",
+    # One row per column: the last look at the values joins a table of the columns' own quartiles.
+    beyond = values.join(F.broadcast(spread.select(name, "p25", "p75")), name).groupBy(name).agg(count_where(outside).alias("iqr_outlier_count"))
+    rows = F.col("n").cast("double")
+    corrected = F.sqrt(rows * (rows - 1)) / (rows - 2) * F.col("shape")
+    skewness = F.when(rows > 2, F.when(F.col("minimum") == F.col("maximum"), 0.0).otherwise(corrected))
+    described = found.join(spread, name, "left").join(beyond, name, "left")
+    return described.select(
+        name,
+        F.col("n").alias("non_missing_count"),
+        "missing_count",
         "mean",
-        F.when(rows > 1, F.sqrt(F.col("m2") / (rows - 1))).alias("std"),
+        F.when(rows > 1, F.col("std")).alias("std"),
         "minimum",
         *PERCENTILES,
         "maximum",
-        F.when(F.col("m2") == 0, F.when(rows > 2, F.lit(0.0))).otherwise(skew).alias("skewness"),
-        "iqr_outlier_count",
+        skewness.alias("skewness"),
+        F.coalesce("iqr_outlier_count", F.lit(0)).alias("iqr_outlier_count"),
         "negative_count",
     )
-    return present.join(described, "column_name", "left").fillna(0, ["iqr_outlier_count", "negative_count"])
 
 
 def categorical_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -166,18 +165,22 @@ def quartile_edges(df: DataFrame, columns: Sequence[str]) -> dict[str, list[floa
 
     Reaches the driver with one row per column.
     """
-    ranked = ranked_values(long_numbers(df, columns), "value", ["column_name"])
-    small = F.count(F.lit(1)) < FEW_VALUES
-    edges = quantiles_of_ranked(ranked, "value", QUARTILES, ["column_name"])
-    few = ranked.groupBy("column_name").agg(small.alias("few"))
+    values, v, name = long_numbers(df, columns).where("value IS NOT NULL"), F.col("value"), "column_name"
+    found = pin(brackets(values, "value", QUARTILES, [name], lowest=F.min(v), highest=F.max(v)))
+    edges = quantiles_in_brackets(values, "value", found, QUARTILES, [name])
+    # Four values are two different ones between the lowest and the highest.
+    ends = F.broadcast(found.select(name, "lowest", "highest"))  # one row per column
+    between = values.join(ends, name).where((v > F.col("lowest")) & (v < F.col("highest")))
+    many = between.groupBy(name).agg((F.min(v) < F.max(v)).alias("many"))
     return {
-        row["column_name"]: [] if row["few"] else sorted({row[e] for e in QUARTILES})
-        for row in edges.join(few, "column_name").collect()
+        row[name]: sorted({row[e] for e in QUARTILES}) if row["many"] else []
+        for row in edges.join(many, name, "left").collect()
     }
 
 
 def target_by_quartile(df: DataFrame, columns: Sequence[str], label: str, measure: str) -> DataFrame:
-    """Both targets by quartile of each numeric column, or by value where it has fewer than four."""
+    """Both targets by quartile of each numeric column, or by value where it has fewer than four. A quartile has its bounds:
+    above ``lower_bound`` (the first one: from there) up to ``upper_bound``."""
     edges = quartile_edges(df, columns)
     quartiled = [c for c in columns if edges.get(c)]
     valued = [c for c in columns if c in edges and not edges[c]]
@@ -193,7 +196,10 @@ def target_by_quartile(df: DataFrame, columns: Sequence[str], label: str, measur
     binned = numbers.select(LABEL, MEASURE, *[cell(c) for c in quartiled], *values)
     long = binned.unpivot([LABEL, MEASURE], [*quartiled, *valued], "feature", "category")
     kind = F.when(F.col("feature").isin(*quartiled), "quartile").otherwise("value") if quartiled else F.lit("value")
-    return grouped_targets(long, ["feature", "category"], LABEL, MEASURE).withColumn("group_type", kind)
+    grouped = grouped_targets(long, ["feature", "category"], LABEL, MEASURE).withColumn("group_type", kind)
+    bounds = [(c, f"q{i + 1}", lo, hi) for c in quartiled for i, (lo, hi) in enumerate(zip(edges[c], edges[c][1:]))]
+    frame = df.sparkSession.createDataFrame(bounds, "feature string, category string, lower_bound double, upper_bound double")
+    return grouped.join(F.broadcast(frame), ["feature", "category"], "left")  # at most four rows per column
 
 
 def top_categories(df: DataFrame, column: str, k: int = TOP_GROUPS) -> DataFrame:

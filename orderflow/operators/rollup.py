@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.columns import (
     any_flag,
-    count_where,
     days_between,
     equality_flag,
     guarded_ratio,
@@ -58,54 +57,87 @@ def _together(key: str, *parts: DataFrame) -> DataFrame:
     return joined.select(F.when(~F.col("_no_key"), F.col("_key")).alias(key), *rest)
 
 
+def _count(column: str) -> Column:
+    return F.sum(F.col(column).isNotNull().cast("long"))
+
+
 def order_item_rollup(
     enriched: DataFrame, ties: Sequence[str] = ("order_item_id", "product_id", "seller_id")
 ) -> DataFrame:
     """Item counts, price, freight, weight, volume and listing measures per order.
 
-    Measures, distinct counts and the main seller are separate aggregations: fixed-size buffers keep
-    the first in hash aggregation, each distinct count reads two columns and needs no Expand (one
-    over ids even drops its joins), and the text picked by the last one needs a sort. None of them
-    ever holds all rows or all values of one order.
+    Two scans of the items. One goes from (order, product) to (order, category) to the order, the other from (order, seller) to
+    (order, state) to the order: each level merges the sums of the one before and counts its groups, so a distinct count is
+    a by-product, needs no Expand and no set, and an order with a third of all items is spread by its products and sellers. A
+    product has one category and a seller one state, as ``enrich_items`` joins them.
     """
     key = "order_id"
-    weight, volume, photos = "product_weight_g", "product_volume_cm3", "product_photos_qty"
+    product, category, seller, state = "product_id", "product_category_name", "seller_id", "seller_state"
+    sums = {"price": "price", "freight": "freight_value", "weight": "product_weight_g", "volume": "product_volume_cm3", "photos": "product_photos_qty"}
     enriched = _keyed(enriched, key)
-    measures = rollup(
-        enriched,
-        KEYS,
-        item_count=F.count(F.lit(1)),
-        total_item_price=F.sum("price"),
-        average_item_price=F.avg("price"),
-        minimum_item_price=F.min("price"),
-        maximum_item_price=F.max("price"),
-        total_freight=F.sum("freight_value"),
-        average_freight_per_item=F.avg("freight_value"),
-        maximum_freight_per_item=F.max("freight_value"),
-        freight_to_price_ratio=guarded_ratio(F.sum("freight_value"), F.sum("price")),
-        total_product_weight_g=F.sum(weight),
-        average_product_weight_g=F.avg(weight),
-        maximum_product_weight_g=F.max(weight),
-        total_product_volume_cm3=F.sum(volume),
-        average_product_volume_cm3=F.avg(volume),
-        maximum_product_volume_cm3=F.max(volume),
-        average_product_photos=F.avg(photos),
-        maximum_product_photos=F.max(photos),
-        missing_weight_item_count=count_where(F.col(weight).isNull()),
-        missing_volume_item_count=count_where(F.col(volume).isNull()),
-        missing_category_item_count=count_where(F.col("product_category_name").isNull()),
-        earliest_shipping_limit_date=F.min("shipping_limit_date"),
-        latest_shipping_limit_date=F.max("shipping_limit_date"),
+    by_product = enriched.groupBy(*KEYS, product, category).agg(
+        F.count(F.lit(1)).alias("items"),
+        *[F.sum(c).alias(f"{n}_sum") for n, c in sums.items()],
+        *[F.count(c).alias(f"{n}_count") for n, c in sums.items()],
+        *[F.max(c).alias(f"{n}_max") for n, c in sums.items()],
+        F.min("price").alias("price_min"),
+        F.min("shipping_limit_date").alias("limit_min"),
+        F.max("shipping_limit_date").alias("limit_max"),
     )
-    counted = {
-        "unique_product_count": "product_id",
-        "unique_seller_count": "seller_id",
-        "unique_seller_state_count": "seller_state",
-        "unique_category_count": "product_category_name",
-    }
-    distinct = [rollup(enriched, KEYS, **{name: F.count_distinct(c)}) for name, c in counted.items()]
-    main_seller = rollup(enriched, KEYS, primary_seller_state=value_at_max("seller_state", "price", list(ties)))
-    return _together(key, measures, *distinct, main_seller)
+    merged = [
+        F.sum("items").alias("items"),
+        *[F.sum(f"{n}_{kind}").alias(f"{n}_{kind}") for kind in ("sum", "count") for n in sums],
+        *[F.max(f"{n}_max").alias(f"{n}_max") for n in sums],
+        F.min("price_min").alias("price_min"),
+        F.min("limit_min").alias("limit_min"),
+        F.max("limit_max").alias("limit_max"),
+    ]
+    by_category = by_product.groupBy(*KEYS, category).agg(*merged, _count(product).alias("products"))
+    missing = F.sum(F.when(F.col(category).isNull(), F.col("items")).otherwise(0))
+    by_order = by_category.groupBy(*KEYS).agg(
+        *merged, F.sum("products").alias("products"), _count(category).alias("categories"), missing.alias("uncategorised")
+    )
+
+    def average(name: str) -> Column:
+        return F.try_divide(F.col(f"{name}_sum").cast("double"), F.col(f"{name}_count"))
+
+    measures = by_order.select(
+        *KEYS,
+        F.col("items").alias("item_count"),
+        F.col("price_sum").alias("total_item_price"),
+        average("price").alias("average_item_price"),
+        F.col("price_min").alias("minimum_item_price"),
+        F.col("price_max").alias("maximum_item_price"),
+        F.col("freight_sum").alias("total_freight"),
+        average("freight").alias("average_freight_per_item"),
+        F.col("freight_max").alias("maximum_freight_per_item"),
+        guarded_ratio(F.col("freight_sum"), F.col("price_sum")).alias("freight_to_price_ratio"),
+        F.col("weight_sum").alias("total_product_weight_g"),
+        average("weight").alias("average_product_weight_g"),
+        F.col("weight_max").alias("maximum_product_weight_g"),
+        F.col("volume_sum").alias("total_product_volume_cm3"),
+        average("volume").alias("average_product_volume_cm3"),
+        F.col("volume_max").alias("maximum_product_volume_cm3"),
+        average("photos").alias("average_product_photos"),
+        F.col("photos_max").alias("maximum_product_photos"),
+        (F.col("items") - F.col("weight_count")).alias("missing_weight_item_count"),
+        (F.col("items") - F.col("volume_count")).alias("missing_volume_item_count"),
+        F.col("uncategorised").alias("missing_category_item_count"),
+        F.col("limit_min").alias("earliest_shipping_limit_date"),
+        F.col("limit_max").alias("latest_shipping_limit_date"),
+        F.col("products").alias("unique_product_count"),
+        F.col("categories").alias("unique_category_count"),
+    )
+    # The best item of a seller, then of a state, then of the order; those without a price or state are no candidates.
+    order = F.struct((-F.col("price")).alias("by"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)])
+    by_seller = enriched.groupBy(*KEYS, seller, state).agg(F.min(F.when(F.col("price").isNotNull() & F.col(state).isNotNull(), order)).alias("best"))
+    by_state = by_seller.groupBy(*KEYS, state).agg(F.min("best").alias("best"), _count(seller).alias("sellers"))
+    sellers = by_state.groupBy(*KEYS).agg(
+        F.sum("sellers").alias("unique_seller_count"),
+        _count(state).alias("unique_seller_state_count"),
+        F.min_by(state, "best").alias("primary_seller_state"),
+    )
+    return _together(key, measures, sellers)
 
 
 def payment_rollup(

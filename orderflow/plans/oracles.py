@@ -675,7 +675,7 @@ TARGET_DOUBLES = "late_delivery_rate mean_actual_delivery_days median_actual_del
 
 
 def _targets(feature: str, category: str, kind: str, source: str) -> str:
-    return f"""SELECT '{feature}' AS feature, {category} AS category, {TARGETS}, {kind} AS group_type
+    return f"""SELECT '{feature}' AS feature, {category} AS category, {TARGETS}, {kind}{"" if " AS " in kind else " AS group_type"}
                FROM {source} GROUP BY 2"""
 
 
@@ -692,10 +692,12 @@ def _quartiles(column: str) -> str:
     than four values are grouped by value."""
     edges = ", ".join(f"quantile_cont(CAST({column} AS DOUBLE), {p}) AS e{i}" for i, p in enumerate((0, 0.25, 0.5, 0.75, 1)))
     inner = "list_filter(list_distinct([e1, e2, e3]), lambda x: x > e0 AND x < e4)"
-    bucket = f"""CASE WHEN {column} IS NULL THEN '<missing>'
-        ELSE 'q' || CAST(1 + len(list_filter({inner}, lambda x: x < CAST({column} AS DOUBLE))) AS VARCHAR) END"""
+    number = f"1 + len(list_filter({inner}, lambda x: x < CAST({column} AS DOUBLE)))"
+    bucket = f"CASE WHEN {column} IS NULL THEN '<missing>' ELSE 'q' || CAST({number} AS VARCHAR) END"
     category = f"CASE WHEN d < 4 THEN CAST(CAST(coalesce({column}, -1) AS DOUBLE) AS VARCHAR) ELSE {bucket} END"
-    kind = "CASE WHEN any_value(d) < 4 THEN 'value' ELSE 'quartile' END"
+    bounds = "list_sort(list_distinct([e0, e1, e2, e3, e4]))"
+    lower, upper = (f"any_value(CASE WHEN d >= 4 AND {column} IS NOT NULL THEN {bounds}[{number} + {i}] END)" for i in (0, 1))
+    kind = f"CASE WHEN any_value(d) < 4 THEN 'value' ELSE 'quartile' END AS group_type, {lower} AS lower_bound, {upper} AS upper_bound"
     return _targets(column, category, kind, f"model, (SELECT {edges}, count(DISTINCT {column}) AS d FROM model)")
 
 
@@ -703,7 +705,7 @@ ORACLES["target_by_quartile"] = sql(
     union([_quartiles(c) for c in NUMERICAL]),
     "model",
     8,
-    TARGET_DOUBLES,
+    TARGET_DOUBLES + " lower_bound upper_bound",
 )
 ORACLES["top_routes"] = sql(
     _targets(

@@ -113,8 +113,8 @@ class DeliveryRun:
         label, days = CONTRACT.classification_target, CONTRACT.regression_target
         numerical, categorical = list(CONTRACT.numerical), list(CONTRACT.categorical)
         targets = profile.target_by_category(train, [*categorical, *GROUPS], label, days)
-        targets = targets.unionByName(profile.target_by_quartile(train, numerical, label, days))
-        targets = targets.unionByName(profile.target_by_top_category(train, ROUTE, label, days))
+        targets = targets.unionByName(profile.target_by_quartile(train, numerical, label, days), allowMissingColumns=True)
+        targets = targets.unionByName(profile.target_by_top_category(train, ROUTE, label, days), allowMissingColumns=True)
         validation = self.part("validation").select(*CONTRACT.features)
         reports = {
             "missing_values": quality.missing_values(train),

@@ -31,6 +31,32 @@ def test_quantiles_of_groups_with_missing_key_and_values(spark):
     assert got == {None: 2.0, "b": 2.0}
 
 
+def test_quantiles_of_groups_beyond_the_sketch_are_exact_and_store_no_rows(spark, monkeypatch):
+    """With a coarse sketch the groups are large: brackets are closed, and values between them are counted as one."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5).alias("g"),
+        F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 7 != 0, (F.hash("id") % 10_000) / 8).otherwise(F.pow(F.lit(1.5), F.col("id") % 90)).alias("v"),
+    )
+    rows = rows.unionByName(spark.createDataFrame([(None, 1.0), (None, 2.0), (99, None)], "g long, v double"))
+    stored, real = [], ordering.pin
+    monkeypatch.setattr(ordering, "pin", lambda df: stored.append(real(df)) or stored[-1])
+    monkeypatch.setattr(ordering, "ACCURACY", 200)
+    wanted = {"least": 0.0, "a": 0.001, "b": 0.25, "c": 0.5, "d": 0.501, "e": 0.99, "most": 1.0}
+    got = {r["g"]: r for r in ordering.quantiles(rows.repartition(5), "v", wanted, ["g"]).collect()}
+    groups = {}
+    for g, v in rows.dropna(subset=["v"]).collect():
+        groups.setdefault(g, []).append(v)
+    assert got.keys() == groups.keys() and len(groups) == 7
+    for g, values in groups.items():
+        row = got[g]
+        assert np.allclose([row[k] for k in wanted], np.quantile(values, list(wanted.values())), rtol=0, atol=1e-9)
+    assert sum(df.count() for df in stored) == 7
+    closed = stored[0].where("n > 800").select(F.explode("low").alias("low"))
+    assert closed.where("low > double('-Infinity')").count() > 0
+    plan = ordering.quantiles(rows, "v", wanted, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and plan.count("Window [") == 2
+
+
 def test_approximate_quantiles_are_close(spark):
     df = numbers(spark)
     exact = ordering.quantiles(df, "v", {"m": 0.9}).first()["m"]

@@ -155,3 +155,11 @@ def test_rows_without_a_key_keep_their_group(spark):
     )
     paid = {r.order_id: (r.payment_count, r.payment_type_count, r.primary_payment_type) for r in rollup.payment_rollup(payments).collect()}
     assert paid == {1: (1, 1, "card"), None: (2, 2, "card")}
+
+
+def test_item_rollup_scans_the_items_twice(spark, tiny):
+    from orderflow.plans.testbed import delivery_tables
+
+    plan = delivery_tables(spark, tiny).item_features()._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) == 2
+    assert "Expand" not in plan and "collect_set" not in plan
