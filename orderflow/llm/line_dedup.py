@@ -249,8 +249,10 @@ def probe_there(docs: DataFrame, index: DataFrame, shards: int, least: int) -> D
     lines = texts.mapInPandas(asked, "doc_id string, h string, at long, h1 long, h2 long, id long, known boolean")
     lines = lines.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
     parts = pin(lines.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(PROBES)).cast("int").alias("parts")))
-    lines = lines.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id", "h", "at"), "parts").cast("int"))
-    copies = index.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    lines = lines.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id", "h", "at"), "parts").cast("int")).drop("parts")
+    counted = parts.select(F.col("shard").alias("of"), F.col("parts").alias("copies"))
+    copies = index.join(counted, F.col("shard") == F.col("of"))
+    copies = copies.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("of", "copies")
 
     def answered(lines: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
         kept = lines[gone(lines, Shard.read(arrays.iloc[0]))] if len(arrays) and len(lines) else lines[:0]
