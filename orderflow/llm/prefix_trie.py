@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import or_empty
 from orderflow.session import pin
 
-WIDTH, GROUP, IDS_AT_ONCE = 16, 4096, 50_000
+WIDTH, GROUP, IDS_AT_ONCE, ROWS_AT_ONCE = 16, 1024, 50_000, 10_000
 BASE_EVERY, MOST_BORROWED = 20, 4
 ROOT = bytes(WIDTH)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -272,10 +272,12 @@ def ends(rows: DataFrame) -> DataFrame:
 
     def strung(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, group in batch.groupby(batch["key"], sort=False)["conv_id"]:
-                for at in range(0, len(group), IDS_AT_ONCE):
-                    some = group.iloc[at : at + IDS_AT_ONCE].tolist()
-                    yield pd.DataFrame({"key": [key], "first": [some[0]], "ids": [",".join(map(str, some))]})
+            keys, convs, made, at = batch["key"].tolist(), batch["conv_id"].tolist(), [], 0
+            for end in range(1, len(keys) + 1):
+                if end == len(keys) or keys[end] != keys[at] or end - at == IDS_AT_ONCE:
+                    made.append((keys[at], convs[at], ",".join(map(str, convs[at:end]))))
+                    at = end
+            yield pd.DataFrame(made, columns=["key", "first", "ids"])
 
     def digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, sha = None, None
@@ -305,27 +307,27 @@ def ends(rows: DataFrame) -> DataFrame:
 def light_nodes(sequences: DataFrame) -> DataFrame:
     """NODE rows of the groups (group, depth, above) of ``sequences``, each in one tree."""
 
-    def built(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held = None, []
-
-        def finished() -> pd.DataFrame:
-            _, depth, above = now
-            columns = zip(*group_nodes(held, depth, above), strict=True)
-            # The parent's id has gaps, which would make its column one of floating-point numbers.
-            return pd.DataFrame({n: pd.Series(c, dtype="Int64" if n == "parent_conv_id" else None) for n, c in zip(NAMES, columns, strict=True)})
+    def framed(rows: list[list]) -> pd.DataFrame:
+        # The parent's id has gaps, which would make its column one of floating-point numbers.
+        columns = zip(NAMES, zip(*rows, strict=True), strict=True)
+        return pd.DataFrame({n: pd.Series(c, dtype="Int64" if n == "parent_conv_id" else None) for n, c in columns})
 
+    def built(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, made = None, [], []
         for batch in batches:
-            made = []
             for r in batch.itertuples(index=False):
                 if now is None or r.group != now[0]:
                     if held:
-                        made.append(finished())
+                        made += group_nodes(held, *now[1:])
+                    if len(made) > ROWS_AT_ONCE:
+                        yield framed(made)
+                        made = []
                     now, held = (r.group, int(r.depth), r.above), []
                 held.append(Sequence(r.key, r.path, r.words.tolist(), int(r.n), int(r.conv)))
-            if made:
-                yield pd.concat(made)
         if held:
-            yield finished()
+            made += group_nodes(held, *now[1:])
+        if made:
+            yield framed(made)
 
     columns = ["group", "depth", "above", "key", "path", "words", "n", "conv"]
     return sequences.select(*columns).repartition("group").sortWithinPartitions("group").mapInPandas(built, NODE)
