@@ -13,7 +13,6 @@ from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
@@ -22,7 +21,6 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasOutputCol
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
-    GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
@@ -33,6 +31,7 @@ from pyspark.sql import types as T
 
 from orderflow.contract import FeatureContract
 from orderflow.functions.derived import ROUTE, ROUTE_FREQUENCY, derived_names
+from orderflow.ml.boosting import LOGISTIC, SQUARED, Settings, fit_boosted
 from orderflow.ml.prep import DerivedFeatures, FrequencyEncoder, class_weights, preparation_stages
 from orderflow.operators.evaluate import (
     COUNTS,
@@ -49,6 +48,7 @@ FEATURES, LABEL, WEIGHT = "features", "_label", "_weight"
 CLASS_TARGET, DAYS_TARGET = "_late", "_days"
 SCORE, PREDICTION, NAME = "score", "prediction", "model_name"
 SEED = 42
+BOOSTED = ("hist_gradient_boosting", "gradient_boosted_trees")
 #: Tasks of each pass over the training rows. The trees that bagging grows depend on this number, so it is a fixed
 #: parameter and follows neither the rows nor the cores: raise it in ``prepare`` for large training parts, so that
 #: a partition of vectors fits in an executor's memory.
@@ -108,17 +108,10 @@ CLASSIFIERS = {
 ENGINEERED_CLASSIFIERS = {
     "dummy_classifier": {},
     "logistic_regression": {"C": 1.0, "maxIter": 2000},
-    "hist_gradient_boosting": {"maxIter": 220, "stepSize": 0.08, "maxDepth": 5, "minInstancesPerNode": 30},
+    "hist_gradient_boosting": {"trees": 220, "step": 0.08, "depth": 5, "least_rows": 30, "l2": 1.0},
     "random_forest": {"numTrees": 50, "maxDepth": 12, "minInstancesPerNode": 15, "featureSubsetStrategy": "0.5"},
     "extra_trees": {"numTrees": 50, "maxDepth": 14, "minInstancesPerNode": 12, "featureSubsetStrategy": "0.5"},
-    "gradient_boosted_trees": {
-        "maxIter": 180,
-        "stepSize": 0.06,
-        "maxDepth": 6,
-        "minInstancesPerNode": 5,
-        "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
-    },
+    "gradient_boosted_trees": {"trees": 180, "step": 0.06, "depth": 6, "least_hessian": 5, "rows": 0.8, "features": 0.8, "l2": 2.0},
 }
 REGRESSORS = {
     "dummy_regressor": {},
@@ -136,17 +129,10 @@ ENGINEERED_REGRESSORS = {
     "ridge": {"alpha": 10.0},
     "ridge_log_target": {"alpha": 10.0},
     "elastic_net": {"alpha": 0.03, "l1_ratio": 0.2},
-    "hist_gradient_boosting": {"maxIter": 180, "stepSize": 0.06, "maxDepth": 5, "minInstancesPerNode": 30},
+    "hist_gradient_boosting": {"trees": 180, "step": 0.06, "depth": 5, "least_rows": 30, "l2": 2.0},
     "random_forest": {"numTrees": 40, "maxDepth": 12, "minInstancesPerNode": 15, "featureSubsetStrategy": "0.5"},
     "extra_trees": {"numTrees": 40, "maxDepth": 14, "minInstancesPerNode": 12, "featureSubsetStrategy": "0.5"},
-    "gradient_boosted_trees": {
-        "maxIter": 180,
-        "stepSize": 0.06,
-        "maxDepth": 6,
-        "minInstancesPerNode": 8,
-        "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
-    },
+    "gradient_boosted_trees": {"trees": 180, "step": 0.06, "depth": 6, "least_hessian": 8, "rows": 0.8, "features": 0.8, "l2": 3.0},
 }
 
 
@@ -176,13 +162,20 @@ def _classifier(name: str, settings: dict) -> Fit:
             "decision_tree": (DecisionTreeClassifier, {}),
             "random_forest": (RandomForestClassifier, {}),
             "extra_trees": (RandomForestClassifier, {"bootstrap": False}),
-            "hist_gradient_boosting": (GBTClassifier, {}),
-            "gradient_boosted_trees": (GBTClassifier, {}),
         }
         kind, extra = kinds[name]
         return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, **extra, seed=SEED).fit(train), PositiveScore()]
 
-    return {"dummy_classifier": prior, "logistic_regression": logistic}.get(name, tree)
+    def boosted(train: DataFrame) -> list:
+        # One family weighs both classes, the other only the positive one: its weights are relative to the negative ones.
+        unit = F.lit(1.0)
+        if name == "gradient_boosted_trees":
+            unit = F.lit(train.where(F.col(LABEL) == 0).agg(F.min(WEIGHT)).first()[0] or 1.0)
+        weighted = train.withColumn(WEIGHT, F.col(WEIGHT) / unit)
+        return [fit_boosted(weighted, LOGISTIC, Settings(**{"seed": SEED, **settings}), SCORE, FEATURES, LABEL, WEIGHT)]
+
+    own = {"dummy_classifier": prior, "logistic_regression": logistic, **dict.fromkeys(BOOSTED, boosted)}
+    return own.get(name, tree)
 
 
 def _regressor(name: str, settings: dict) -> Fit:
@@ -211,13 +204,15 @@ def _regressor(name: str, settings: dict) -> Fit:
             "random_forest_regressor": (RandomForestRegressor, {}),
             "random_forest": (RandomForestRegressor, {}),
             "extra_trees": (RandomForestRegressor, {"bootstrap": False}),
-            "hist_gradient_boosting": (GBTRegressor, {}),
-            "gradient_boosted_trees": (GBTRegressor, {}),
         }
         kind, extra = kinds[name]
         return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, **extra, seed=SEED).fit(train)]
 
+    def boosted(train: DataFrame) -> list:
+        return [fit_boosted(train, SQUARED, Settings(**{"seed": SEED, **settings}), PREDICTION, FEATURES, LABEL)]
+
     return {
+        **dict.fromkeys(BOOSTED, boosted),
         "dummy_regressor": middle,
         "linear_regression": linear,
         "ridge": ridge,
