@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.columns import number_sql
 from orderflow.operators.ordering import ranked_values
-from orderflow.session import pin
+from orderflow.session import pin, unpin
 
 # Fewest complete rows of a pair and the correlation that is worth reporting.
 FEWEST_PAIRS = 100
@@ -90,35 +93,44 @@ def spearman_pairs(
     )
     long = restricted.unpivot([key], list(variables), "variable", "value").where(F.col("value").isNotNull())
     wide = pin(rank_columns(long, key, list(variables)))
-    passes = [
-        _correlations(wide, pairs[start : start + PAIRS_PER_PASS]) for start in range(0, len(pairs), PAIRS_PER_PASS)
-    ]
-    result = passes[0]
-    for more in passes[1:]:
-        result = result.unionByName(more)
+    # Pairs with the same gaps, taken together, are correlated over the same rows.
+    by_rows: dict[tuple[str, ...], list[tuple[str, str, str, str]]] = {}
+    for pair in pairs:
+        gaps = tuple(sorted({m for c in pair[:2] if (m := classes[c]) is not None}))
+        by_rows.setdefault(gaps, []).append(pair)
+    found = [row for some in by_rows.values() for row in _correlations(wide, some)]
+    unpin(wide)
+    result = df.sparkSession.createDataFrame(found, "left_column string, right_column string, pair_count long, value double")
     result = result.where((F.col("pair_count") >= fewest_pairs) & F.col("value").isNotNull())
     return result if at_least is None else result.where(F.abs("value") >= at_least)
 
 
-def _correlations(wide: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    aggregates = []
-    for i, (_, _, x, y) in enumerate(pairs):
-        x, y = F.col(f"`{x}`"), F.col(f"`{y}`")
-        # Both variables are present in the same rows; a constant one has no correlation.
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        aggregates += [F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"), F.count_if(x.isNotNull() & y.isNotNull()).alias(f"n{i}")]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("left_column"),
-                F.lit(b).alias("right_column"),
-                F.col(f"n{i}").alias("pair_count"),
-                F.col(f"r{i}").alias("value"),
-            )
-            for i, (a, b, _, _) in enumerate(pairs)
-        ]
+def _correlations(wide: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -> list[tuple[str, str, int, float | None]]:
+    """One pass over the rank vectors of all variables of the pairs, which are present in the same rows; one matrix of columns by
+    columns reaches the driver."""
+    variables = sorted({v for _, _, x, y in pairs for v in (x, y)})
+    ranks = wide.select(*[F.col(f"`{v}`").alias(f"v{i}") for i, v in enumerate(variables)]).dropna()
+    rows = ranks.count()
+    if not rows:
+        return [(a, b, 0, None) for a, b, _, _ in pairs]
+    vectors = VectorAssembler(inputCols=ranks.columns, outputCol="ranks").transform(ranks).select("ranks")
+    matrix = Correlation.corr(vectors, "ranks").first()[0].toArray()
+    place = {v: i for i, v in enumerate(variables)}
+    # A constant variable has no correlation.
+    values = [(a, b, float(matrix[place[x], place[y]])) for a, b, x, y in pairs]
+    return [(a, b, rows, None if math.isnan(v) else max(-1.0, min(1.0, v))) for a, b, v in values]
+
+
+def correlation_matrix(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Spearman correlation of every two columns, both ways and with themselves: (left_column, right_column, pair_count, value),
+    without the pairs that have none, as one is constant or no row has both."""
+    upper = spearman_pairs(df, key, columns, fewest_pairs=0)
+    numbers = df.selectExpr(*[f"{number_sql(c)} AS `{c}`" for c in columns])
+    own = numbers.unpivot([], list(columns), "left_column", "value").groupBy("left_column").agg(
+        F.count("value").alias("pair_count"), F.when(F.min("value") < F.max("value"), 1.0).alias("value")
     )
-    return wide.agg(*aggregates).select(F.inline(rows))
+    lower = upper.select(F.col("right_column").alias("left_column"), F.col("left_column").alias("right_column"), "pair_count", "value")
+    return upper.unionByName(lower).unionByName(own.withColumn("right_column", F.col("left_column")))
 
 
 def duplicate_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -857,6 +857,22 @@ ORACLES["spearman_pairs"] = sql(
     7,
     "value",
 )
+_LONG = union([f"SELECT order_id, '{c}' AS c, round(CAST({c} AS DOUBLE), 8) AS v FROM model WHERE {c} IS NOT NULL" for c in SUMMARISED])
+_OWN = union([f"SELECT '{c}' AS left_column, '{c}' AS right_column, count({c}) AS pair_count, CASE WHEN min({c}) < max({c}) THEN 1e0 END AS value FROM model" for c in SUMMARISED])
+_RANKS = ", ".join(
+    f"rank() OVER (PARTITION BY l, r ORDER BY {v}) + (count(*) OVER (PARTITION BY l, r, {v}) - 1) / 2e0 AS {v}_rank" for v in ("x", "y")
+)
+ORACLES["correlation_matrix"] = sql(
+    f"""SELECT CASE flip WHEN 0 THEN l ELSE r END AS left_column, CASE flip WHEN 0 THEN r ELSE l END AS right_column, pair_count, value
+        FROM (SELECT l, r, count(*) AS pair_count, corr(x_rank, y_rank) AS value
+              FROM (SELECT l, r, {_RANKS}
+                    FROM (SELECT a.c AS l, b.c AS r, a.v AS x, b.v AS y FROM ({_LONG}) a JOIN ({_LONG}) b ON a.order_id = b.order_id AND a.c < b.c))
+              GROUP BY l, r), (SELECT unnest([0, 1]) AS flip) WHERE NOT isnan(value)
+        UNION ALL {_OWN}""",
+    "model",
+    7,
+    "value",
+)
 TEXT, LONGS, INTS = FEATURES[:3], [*FEATURES[3:7], *FEATURES[11:16], *FEATURES[32:37]], [FEATURES[7], FEATURES[41], *FEATURES[43:47]]
 NUMBERS = [c for c in FEATURES if c not in {*TEXT, *LONGS, *INTS}]
 SAME_TYPE = [pair for kind in (TEXT, LONGS, INTS, NUMBERS) for pair in combinations(sorted(kind, key=FEATURES.index), 2)]

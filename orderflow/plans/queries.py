@@ -542,6 +542,13 @@ def spearman_pairs(spark, sf_dir):
     return rounded(redundancy.spearman_pairs(model(spark, sf_dir), "order_id", RANKED), 7)
 
 
+@query
+def correlation_matrix(spark, sf_dir):
+    """All numeric inputs and both targets. Sums and ratios are brought to the same bits before they are ranked."""
+    inputs = rounded(model(spark, sf_dir).select("order_id", *SUMMARISED), 8)
+    return rounded(redundancy.correlation_matrix(inputs, "order_id", SUMMARISED), 7)
+
+
 @query
 def duplicate_columns(spark, sf_dir):
     return redundancy.duplicate_columns(model(spark, sf_dir), CONTRACT.features)
