@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.contract import require_same_schema
 from orderflow.functions.derived import ROUTE, add_reporting_groups
-from orderflow.ml import models
+from orderflow.ml import models, prep
 from orderflow.ml.score import CLASS, DAYS, PROBABILITY, Scorer, evaluate_frozen
 from orderflow.operators import drift, evaluate, profile, quality, redundancy, split
 from orderflow.plans.delivery import CONTRACT, RELATIONSHIPS, DeliveryTables, table_specs
-from orderflow.sources.writers import write_report, write_splits, write_verified
+from orderflow.session import pin
+from orderflow.sources.writers import run_stage, write_report, write_splits, write_verified
 
 BOUGHT, KEY = "order_purchase_timestamp", "order_id"
+CHARTED = ["customer_state", "primary_seller_state", "primary_payment_type"]
+BINNED = ["total_item_price", "total_freight", "total_payment_value"]
 GROUPS = ["delivery_scope", "multi_item_group", "multi_seller_group"]
 
 
@@ -26,7 +31,7 @@ class CheckFailed(ValueError):
 
 @dataclass(frozen=True)
 class DeliveryRun:
-    """One output folder; each step writes what the next one reads, so a lost run resumes at a step."""
+    """One output folder; each step writes what the next one reads, and a lost run resumes behind its last complete step."""
 
     spark: SparkSession
     output: str
@@ -53,28 +58,54 @@ class DeliveryRun:
         write_report(report, self.path("reports", "primary_keys"))
         write_report(quality.fk_check_all(named, RELATIONSHIPS), self.path("reports", "relationships"))
 
+    def stage(self, name: str, make, inputs: list[DataFrame], grain=None, check=None, write=None) -> bool:
+        return run_stage(self.spark, self.output, name, make, inputs, grain, check, write)
+
     def build(self, tables: DeliveryTables) -> None:
-        """Write the joined and the labelled table and fail if a step lost or multiplied rows."""
-        # The rollup reads the enriched items several times, each time a few columns: written once, the
-        # product and seller joins (shuffles, when those tables are large) happen once.
-        write_verified(tables.enriched_items(), self.path("enriched_items"))
-        self._require(quality.join_preserves_rows(tables.order_items, self.read("enriched_items"), [KEY]))
-        write_verified(tables.item_features(self.read("enriched_items")), self.path("item_features"))
-        write_verified(tables.payment_features(), self.path("payment_features"))
-        self._require(
-            quality.rollup_reconcile(tables.order_items, self.read("item_features"), KEY, "item_count"),
-            quality.rollup_reconcile(tables.payments, self.read("payment_features"), KEY, "payment_count"),
-            quality.totals_reconcile(
-                tables.order_items,
-                self.read("item_features"),
-                {"price": ("price", "total_item_price"), "freight": ("freight_value", "total_freight")},
-            ),
+        """Write the joined and the labelled table and fail if a step lost or multiplied rows. Steps that are complete and
+        whose input files are the same are skipped."""
+        items, read, require = tables.order_items, self.read, self._require
+        # The rollup reads the enriched items twice: written once, the product and seller joins (shuffles, when those tables are
+        # large) happen once.
+        self.stage(
+            "enriched_items",
+            tables.enriched_items,
+            [items, tables.products, tables.sellers],
+            check=lambda df: require(quality.join_preserves_rows(items, df, [KEY])),
         )
-        joined = tables.joined_orders(self.read("item_features"), self.read("payment_features"))
-        write_verified(joined, self.path("joined_orders"))
-        self._require(quality.join_preserves_rows(tables.orders, self.read("joined_orders"), [KEY]))
-        write_verified(tables.model_dataset(self.read("joined_orders")), self.path("model_dataset"))
-        data = self.read("model_dataset")
+        totals = {"price": ("price", "total_item_price"), "freight": ("freight_value", "total_freight")}
+        self.stage(
+            "item_features",
+            lambda: tables.item_features(read("enriched_items")),
+            [read("enriched_items")],
+            lambda: read("enriched_items").select(KEY).distinct(),
+            lambda df: require(quality.rollup_reconcile(items, df, KEY, "item_count"), quality.totals_reconcile(items, df, totals)),
+        )
+        self.stage(
+            "payment_features",
+            tables.payment_features,
+            [tables.payments],
+            lambda: tables.payments.select(KEY).distinct(),
+            lambda df: require(quality.rollup_reconcile(tables.payments, df, KEY, "payment_count")),
+        )
+        parts = ["item_features", "payment_features"]
+        self.stage(
+            "joined_orders",
+            lambda: tables.joined_orders(*map(read, parts)),
+            [tables.orders, tables.customers, *map(read, parts)],
+            check=lambda df: require(quality.join_preserves_rows(tables.orders, df, [KEY])),
+        )
+        self.stage(
+            "model_dataset",
+            lambda: tables.model_dataset(read("joined_orders")),
+            [read("joined_orders")],
+            # Filters only: counted on the stored table, without its other columns.
+            lambda: tables.model_dataset(read("joined_orders")),
+            self._check_model,
+        )
+        self._report_joins(read("joined_orders"))
+
+    def _check_model(self, data: DataFrame) -> None:
         CONTRACT.lint()
         CONTRACT.check(data)
         self._require(
@@ -82,22 +113,44 @@ class DeliveryRun:
             quality.non_negative_domain(data, CONTRACT.regression_target),
         )
 
+    def _report_joins(self, joined: DataFrame) -> None:
+        """What the joins left open, also by status, and how payments and order values compare."""
+        open_ = {
+            "orders_without_items": F.col("has_item_features") == 0,
+            "orders_without_payments": F.col("has_payment_features") == 0,
+            "orders_without_customer_state": F.col("customer_state").isNull(),
+        }
+        value = F.col("total_item_price") + F.col("total_freight")
+        reports = {
+            "missing_joins": quality.condition_counts(joined, open_),
+            "missing_joins_by_status": quality.condition_counts(joined, open_, ["order_status"]),
+            "value_reconciliation": quality.value_reconciliation(joined, F.col("total_payment_value"), value),
+        }
+        for name, report in reports.items():
+            write_report(report, self.path("reports", name))
+
     def split(self) -> None:
         """Write the three parts, check them and store the contract with their summary."""
-        data = split.chronological_split(self.read("model_dataset"), BOUGHT, KEY)
-        write_splits(data, self.path("splits"), BOUGHT)
-        written = self.read("splits")
-        if written.count() != data.count():
-            raise CheckFailed("the parts do not add up to the labelled table")
-        if not all(r["in_order"] and r["keys_disjoint"] for r in split.check_split(written, BOUGHT, KEY).collect()):
-            raise CheckFailed("the parts overlap")
-        require_same_schema({name: self.part(name) for name in ("train", "validation", "test")})
+        data = self.read("model_dataset")
+        self.stage(
+            "splits",
+            lambda: split.chronological_split(data, BOUGHT, KEY),
+            [data],
+            lambda: data,
+            self._check_split,
+            lambda df, path, grain: write_splits(df, path, BOUGHT, grain),
+        )
         summary = split.split_summary(
-            written, BOUGHT, KEY, CONTRACT.classification_target, CONTRACT.regression_target, CONTRACT.features
+            self.read("splits"), BOUGHT, KEY, CONTRACT.classification_target, CONTRACT.regression_target, CONTRACT.features
         )
         manifest = self.spark.createDataFrame([(CONTRACT.manifest(summary),)], "value string")
         manifest.coalesce(1).write.mode("overwrite").text(self.path("manifest"))
 
+    def _check_split(self, written: DataFrame) -> None:
+        if not all(r["in_order"] and r["keys_disjoint"] for r in split.check_split(written, BOUGHT, KEY).collect()):
+            raise CheckFailed("the parts overlap")
+        require_same_schema({name: self.part(name) for name in ("train", "validation", "test")})
+
     @staticmethod
     def _require(*checks: DataFrame) -> None:
         for check in checks:
@@ -116,17 +169,27 @@ class DeliveryRun:
         targets = targets.unionByName(profile.target_by_quartile(train, numerical, label, days), allowMissingColumns=True)
         targets = targets.unionByName(profile.target_by_top_category(train, ROUTE, label, days), allowMissingColumns=True)
         validation = self.part("validation").select(*CONTRACT.features)
+        summary = pin(profile.numerical_summary(train, [*numerical, label, days]))
+        drifted = pin(drift.drift_summary(train, validation, numerical, categorical))
+        charts = [profile.group_chart(train, c, label, days).select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("group"), "orders", "late_rate", "delivery_days") for c in CHARTED]
         reports = {
             "missing_values": quality.missing_values(train),
-            "numerical_summary": profile.numerical_summary(train, [*numerical, label, days]),
+            "numerical_summary": summary,
+            "suspicious_columns": profile.suspicious_columns(summary),
+            "group_charts": reduce(DataFrame.unionByName, charts),
+            "histograms": profile.histogram(train, dict.fromkeys(BINNED, 35), clip=0.99),
+            "correlation_matrix": redundancy.correlation_matrix(train, KEY, [*numerical, label, days]),
             "categorical_summary": profile.categorical_summary(train, [*categorical, *GROUPS, ROUTE]),
             "feature_targets": targets,
             "monthly_trend": profile.monthly_trend(train, BOUGHT, label, days),
-            "drift": drift.drift_summary(train, validation, numerical, categorical),
+            "drift": drifted,
             "redundancy": redundancy.redundancy_report(train, KEY, numerical, CONTRACT.features),
         }
         for name, report in reports.items():
             write_report(report, self.path("reports", name))
+        ranked = {"outlier_ranking": (summary, "iqr_outlier_count"), "drift_ranking": (drifted, "drift_score")}
+        for name, (report, by) in ranked.items():
+            write_report(report, self.path("reports", name), order=[F.desc_nulls_last(by), report.columns[0]])
 
     # --- models -----------------------------------------------------------------------------
 
@@ -140,6 +203,13 @@ class DeliveryRun:
         train, validation = self.part("train"), self.part("validation")
         models.check_time_order(train, validation, BOUGHT)
         prepared = models.prepare(CONTRACT, train, validation, engineered)
+        finite = [prep.finite_check(df, models.FEATURES).select(F.lit(n).alias("split"), "*") for n, df in (("train", prepared.train), ("validation", prepared.validation))]
+        finite = pin(finite[0].unionByName(finite[1]))
+        if finite.where("rows_not_finite > 0").count():
+            raise CheckFailed("prepared vectors hold values that are not finite")
+        write_report(finite, self.path("reports", "prepared_vectors"))
+        state = json.dumps(prep.learned_state(prepared.pipeline.stages), indent=2)
+        self.spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(self.path("reports", "learned_state"))
         late = models.compare_classifiers(prepared, classifiers)
         days = models.compare_regressors(prepared, regressors)
         scored = late.best_pipeline.transform(validation)
@@ -160,7 +230,8 @@ class DeliveryRun:
 
     def test(self, scorer: Scorer) -> tuple[DataFrame, DataFrame]:
         """Score the test part once with the frozen models; metrics of both tasks."""
-        write_verified(evaluate_frozen(scorer, self.part("test"), KEY), self.path("test_predictions"))
+        tested = self.part("test")
+        write_verified(evaluate_frozen(scorer, tested, KEY), self.path("test_predictions"), grain=tested)
         predictions = self.read("test_predictions")
         actual = "late_delivery_actual"
         late = quality.one_row(
