@@ -25,9 +25,11 @@ from orderflow.llm.common import keep_names, or_empty
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.S,
 )
+#: A tag whose quotes don't close, up to the next end of a tag.
+LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # Elements of HTML by what they mean for the text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -84,8 +86,8 @@ class Page:
         self.tags, self.parents, self.end = ["#"], [-1], [0]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters of it inside links
         self._open, self._off, self._words, self._linked, self._in_link = [0], 0, [], 0, 0
-        at, find = 0, TOKEN.search
-        while m := find(html, at):
+        at = 0
+        while m := self._next(html, at):
             if m.start() > at:
                 self._text(html[at : m.start()])
             at = m.end()
@@ -106,6 +108,18 @@ class Page:
         while self._open:
             self._pop()
 
+    def _next(self, html: str, at: int) -> re.Match | None:
+        """The next tag, comment or declaration. Each ``<`` is looked at once: behind the last ``>`` nothing ends any more, and a
+        comment without end reaches to the end of the page."""
+        last = html.rfind(">")
+        while (at := html.find("<", at)) >= 0:
+            if at > last and not html.startswith(("<!--", "<![CDATA["), at):
+                return None
+            if m := TOKEN.match(html, at) or LOOSE.match(html, at):
+                return m
+            at += 1
+        return None
+
     def _text(self, text: str) -> None:
         if self._off:
             return
