@@ -8,12 +8,14 @@ So phrases don't become cheap by learning little, and a character the language n
 language with the lowest entropy wins, the first by name on ties.
 The parse starts anew at each word, so it measures how words are built, not which ones follow.
 
-The automata are learned from a bounded sample: whole documents in the order of a hash of (doc_id, text), at
-most ``per_language`` of them and ``characters`` of their words for each language. They are broadcast
-(about 2 states and 3 transitions for a character) and walked by numpy for all new words at once.
+The automata are learned from a bounded sample: distinct texts in the order of their hash, at most ``per_language`` of them and
+``characters`` of their words for each language. Of a language no more than ``TEXT_FOR_WORDS * characters`` code points of each text are
+read, and no further text behind as many; that is cut where the rows lie. More than LANGUAGES languages are an error, so what the driver
+gathers and broadcasts is bounded (about 2 states and 3 transitions for a character, walked by numpy for all new words at once).
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and so is everything
-if nothing was learned. Training rows with null text or lang are not used; a language whose sampled texts hold no
+if nothing was learned. Numbers such as fractions or Roman numerals are no letters. A null doc_id is never held out. Training rows with null
+text or lang are not used, equal texts count once; a language whose sampled texts hold no
 letter is not learned. Score: the winner's part of the sum of inverse entropies. All columns are kept, of equal
 names the made one stays; repeated rows get equal results.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,11 +37,14 @@ from orderflow.llm.common import keep_names, latest, matches, or_empty, pieces
 from orderflow.session import pin
 
 UNKNOWN = "und"
-PER_LANGUAGE, CHARACTERS, BROADCAST_ROWS = 200, 60_000, 100_000
+PER_LANGUAGE, CHARACTERS, BROADCAST_ROWS, LANGUAGES, TEXT_FOR_WORDS = 200, 60_000, 100_000, 500, 4
 SALTS, CACHE, BATCH = 64, 250_000, 10_000
 #: Words of texts whose phrases are looked up together.
 WORDS_TOGETHER = 200_000
-WORDS = re.compile(r"[^\W\d_]+")
+#: Fractions, superscripts, Roman and circled numbers: word characters of ``re`` that are no letters.
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+#: Runs of Unicode letters.
+WORDS = re.compile(rf"[^\W\d_{NUMBERS}]+")
 
 
 @dataclass(frozen=True)
@@ -192,12 +198,12 @@ def identify(texts: list[str], model: Identifier, token: str = "") -> list[tuple
 
 
 def training_sample(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE
+    docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE
 ) -> DataFrame:
     """At most ``per_language`` (lang, text) of each language. Ranked in salted parts first, so that no
     task sorts a whole language; only hashes are ranked, texts are fetched for the chosen ones."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("h")
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
     hashes = rows.select("lang", "h").distinct().withColumn("salt", F.pmod("h", F.lit(SALTS)))
     for by in (["lang", "salt"], ["lang"]):
@@ -211,8 +217,14 @@ def training_sample(
 
 def learn(sample: DataFrame, characters: int = CHARACTERS) -> Identifier:
     """Automata of the bounded sample (lang, text, h), built on the driver."""
-    texts: dict[str, list[str]] = {}
-    for row in sample.orderBy("lang", "h").toLocalIterator():
+    most, texts = TEXT_FOR_WORDS * characters, {}
+    names = sample.select("lang").distinct().limit(LANGUAGES + 1).count()
+    if names > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    before = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    cut = sample.withColumn("text", F.substring("text", 1, most)).withColumn("before", F.sum(F.char_length("text")).over(before))
+    cut = cut.where(F.coalesce("before", F.lit(0)) < most).select("lang", "text", "h")
+    for row in cut.orderBy("lang", "h").toLocalIterator():
         texts.setdefault(row["lang"], []).append(row["text"])
     automata = []
     for lang, some in texts.items():
@@ -244,9 +256,9 @@ def with_language(docs: DataFrame, model: Identifier, text: str = "text") -> Dat
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Identifier:
     """Model of the rows that are not held out (a null doc_id is never held out)."""
-    return learn(training_sample(docs.where(~F.coalesce(held_out(doc_id), F.lit(False))), doc_id, text, lang))
+    return learn(training_sample(docs.where(~held_out(doc_id)), text, lang))
