@@ -1,15 +1,16 @@
 """Approximate nearest neighbours by largest inner product: cross-polytope hashing with multiprobe tables.
 
 Vectors are brought to unit length such that order by inner product becomes order by angle: one more component fills an indexed
-vector up to the largest norm, and is zero in a query. Each of ``tables`` tables turns them by pseudo-rotations (three rounds of random
+vector up to the largest norm, and is zero in a query. So that a few long vectors don't leave all others with that component alone, the index is split
+into ranges of norms within a factor of two (more, where ranges times buckets would pass LAYOUT), each with its own largest norm and tables. Each of ``tables`` tables turns them by pseudo-rotations (three rounds of random
 signs and a fast Hadamard transform) and assigns them to the nearest signed axis, ``functions`` times; together the axes are the
 bucket. A query looks into its ``probes`` nearest buckets by the lost squared length. What it meets is scored exactly on the
-original vectors in double precision; each bucket's best k are merged into the query's best k.
+original vectors in double precision, chosen by scores rounded relative to both norms; each bucket's best k are merged into the query's best k.
 
 The buckets of a table lie side by side in blocks of about BLOCK_BYTES of vectors: small buckets share one, a larger one takes several and
 its rows are dealt to them by vec_id. A query goes once to each block that holds one of its buckets, with their list, and meets
 the rows of just those. A block and at most about QUERIES queries are one task's work; beyond, the block is repeated for each part of the
-queries. Nothing is left out. Where the buckets lie is told by their sizes: a histogram of tables * axes ** functions numbers, which
+queries. Nothing is left out. A range of at most k + 1 vectors is searched whole, and so is everything for queries that met fewer than k vectors. Where the buckets lie is told by their sizes: a histogram of tables * axes ** functions numbers, which
 is independent of the data, checked against LAYOUT and sent to the workers.
 
 More ``functions`` make smaller buckets and need more probes: the defaults reach a recall above 0.95 even on vectors without any
@@ -23,7 +24,8 @@ raised. No more than k candidates: all of them, from all buckets. No vectors or
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ TABLES, FUNCTIONS, PROBES, SEED = 8, 1, 32, 9
 #: A task's vectors as doubles, its queries, and the scores it holds at once.
 BLOCK_BYTES, QUERIES, SCORES_AT_ONCE = 32 << 20, 32_768, 4_000_000
 LAYOUT = 1_000_000
-#: Digits by which candidates are chosen, so that equal vectors tie; the score itself is not rounded.
+#: Digits by which candidates are chosen, of scores over the norms of query and range, so that equal vectors tie; the score itself is not rounded.
 DIGITS = 10
 ROWS_AT_ONCE, QUERIES_AT_ONCE = 1_000, 512
 
@@ -99,8 +101,41 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where("vec_id IS NOT NULL AND v IS NOT NULL")
     rows = rows.where(~F.exists("v", bad))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return rows.withColumn("norm", F.sqrt(square)).where("norm > 0").dropDuplicates(["vec_id", "v"])
+    rows = rows.withColumn("top", F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))).where("top > 0")
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x.cast("double") / F.col("top")) * (x.cast("double") / F.col("top")))
+    norm = F.least(F.col("top") * F.sqrt(square), F.lit(sys.float_info.max))
+    return rows.select("vec_id", "v", norm.alias("norm")).dropDuplicates(["vec_id", "v"])
+
+
+class Ranges:
+    """Ranges of norms from the largest down, by powers of two; ``tops`` and ``sizes`` of those that hold vectors."""
+
+    def __init__(self, longest: float, shortest: float):
+        self.bounds = np.ldexp(longest, -np.arange(int(math.log2(longest) - math.log2(shortest)) + 2))
+
+    def power(self, norm: np.ndarray) -> np.ndarray:
+        return np.maximum(np.searchsorted(-self.bounds, -norm, side="left") - 1, 0)
+
+    def settle(self, found: dict[int, tuple[int, float]], most: int) -> None:
+        """At most ``most`` ranges from size and largest norm of each power."""
+        self.step = 1
+        while len({p // self.step for p in found}) > most:
+            self.step *= 2
+        joined: dict[int, tuple[int, float]] = {}
+        for p, (n, top) in sorted(found.items()):
+            before = joined.get(p // self.step, (0, 0.0))
+            joined[p // self.step] = (before[0] + n, max(before[1], top))
+        self.known = np.array(list(joined), np.int64)
+        self.sizes, self.tops = (np.array([v[i] for v in joined.values()]) for i in (0, 1))
+
+    def of(self, norm: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.known, self.power(norm) // self.step)
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, without overflow of the squares."""
+    top = np.abs(x).max(axis=1)
+    return np.minimum(top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1)), sys.float_info.max)
 
 
 class Layout:
@@ -147,8 +182,9 @@ def best_of(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tup
     return np.nonzero(chosen)
 
 
-def best_in_block(q: np.ndarray, own: np.ndarray, asked: list[np.ndarray], x: np.ndarray, ids: np.ndarray, bucket: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best for each query among the rows of the buckets it asks for; rows are ordered by (bucket, id)."""
+def best_in_block(q: np.ndarray, own: np.ndarray, asked: list[np.ndarray], x: np.ndarray, ids: np.ndarray, bucket: np.ndarray, k: int, scale: float) -> pd.DataFrame:
+    """The k best for each query among the rows of the buckets it asks for; rows are ordered by (bucket, id), none longer than ``scale``."""
+    unit, within = q / norms(q)[:, None], x / scale
     want = np.concatenate(asked)
     who = np.repeat(np.arange(len(q)), [len(a) for a in asked])
     order = np.argsort(want, kind="stable")
@@ -159,7 +195,7 @@ def best_in_block(q: np.ndarray, own: np.ndarray, asked: list[np.ndarray], x: np
         some = who[np.searchsorted(want, b) : np.searchsorted(want, b, side="right")]
         step = max(1, SCORES_AT_ONCE // max(1, hi - lo))
         for part in (some[at : at + step] for at in range(0, len(some), step) if lo < hi):
-            scores = np.round(q[part] @ x[lo:hi].T, DIGITS)
+            scores = np.round(unit[part] @ within[lo:hi].T, DIGITS)
             row, column = best_of(scores, ids[lo:hi], own[part], k)
             rows.append(part[row])
             columns.append(lo + column)
@@ -191,75 +227,103 @@ def nearest(
     """query_id, rank, vec_id, score: the k found with the largest inner product, for each row of ``queries``."""
     index = pin(usable(vectors, vec_id, vector))
     asked = pin(usable(queries, vec_id, vector))
-    facts = index.agg(F.count(F.lit(1)), F.max("norm"), F.min(F.size("v")), F.max(F.size("v"))).first()
+    facts = index.agg(F.count(F.lit(1)), F.max("norm"), F.min("norm"), F.min(F.size("v")), F.max(F.size("v"))).first()
     out = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
     number = asked.count()
     if not facts[0] or not number:
         return spark.createDataFrame([], out)
-    _, longest, dim, widest = facts
+    rows, longest, shortest, dim, widest = facts
     if dim != widest:
         raise ValueError(f"vectors of {dim} and of {widest} components")
     block = block or max(1, BLOCK_BYTES // (8 * dim))
     turns = Rotations(dim + 1, tables, functions, seed)
-    if facts[0] <= k + 1:  # all candidates are asked for: look into every bucket
-        probes = turns.buckets
     if tables * turns.buckets > LAYOUT:
         raise ValueError(f"{tables} tables of {turns.buckets} buckets: at most {LAYOUT} buckets in all")
     # The bytes that hold a vector exactly, on either side.
     kinds = ["<f4" if df.schema["v"].dataType.elementType == FloatType() else "<f8" for df in (index, asked)]
 
-    def lifted(v: np.ndarray, norm: np.ndarray, query: bool) -> np.ndarray:
-        if query:
-            return np.hstack((v / norm[:, None], np.zeros((len(v), 1))))
-        rest = np.sqrt(np.maximum(longest * longest - norm * norm, 0))
-        return np.hstack((v, rest[:, None])) / longest
+    ranges = Ranges(longest, shortest)
+
+    def powers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            power = ranges.power(batch["norm"].to_numpy())
+            yield batch["norm"].groupby(power).agg(["size", "max"]).rename_axis("power").reset_index()
+
+    found = index.select("norm").mapInPandas(powers, "power int, size long, max double").groupBy("power").agg(F.sum("size"), F.max("max"))
+    ranges.settle({r[0]: (r[1], r[2]) for r in found.collect()}, LAYOUT // (tables * turns.buckets))
 
-    def lots(batches: Iterator[pd.DataFrame], query: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(ids, vectors, turned input) of some rows at a time."""
+    def lots(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, vectors, unit vectors, ranges) of some rows at a time; a query's range means nothing."""
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 some = batch.iloc[at : at + ROWS_AT_ONCE]
-                v = np.stack(some["v"].to_numpy()).astype(np.float64)
-                yield some["vec_id"].to_numpy(), v, lifted(v, some["norm"].to_numpy(), query)
+                norm, v = some["norm"].to_numpy(), np.stack(some["v"].to_numpy()).astype(np.float64)
+                yield some["vec_id"].to_numpy(), v, v / norm[:, None], ranges.of(norm)
+
+    def lifted(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(range, ids, vectors, vectors filled up to the range's largest norm, over it)."""
+        for ids, v, x, which in lots(batches):
+            for g in np.unique(which):
+                mine, top = which == g, ranges.tops[g]
+                part = v[mine] / top
+                rest = np.sqrt(np.maximum(1 - (norms(v[mine]) / top) ** 2, 0))
+                yield int(g), ids[mine], v[mine], np.hstack((part, rest[:, None]))
+
+    def places(g: int, all_of_it: bool) -> list[tuple[int, int]]:
+        """(place, table) to search for range ``g``."""
+        n = 1 if all_of_it or ranges.sizes[g] <= k + 1 else tables
+        return [(g * tables + t, t) for t in range(n)]
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sizes = np.zeros((tables, turns.buckets), np.int64)
-        for _, _, x in lots(batches, False):
-            for t in range(tables):
-                sizes[t] += np.bincount(turns.bucket(x, t), minlength=turns.buckets)
+        sizes = np.zeros((len(ranges.tops) * tables, turns.buckets), np.int64)
+        for g, _, _, x in lifted(batches):
+            for place, t in places(g, False):
+                sizes[place] += np.bincount(turns.bucket(x, t), minlength=turns.buckets)
         place, bucket = np.nonzero(sizes)
         yield pd.DataFrame({"place": place, "bucket": bucket, "n": sizes[place, bucket]})
 
-    sizes = np.zeros((tables, turns.buckets), np.int64)
+    sizes = np.zeros((len(ranges.tops) * tables, turns.buckets), np.int64)
     for row in index.mapInPandas(counted, "place int, bucket long, n long").groupBy("place", "bucket").agg(F.sum("n").alias("n")).collect():
         sizes[row["place"], row["bucket"]] = row["n"]
-    layout, parts = spark.sparkContext.broadcast(Layout(sizes, block)), -(-number // queries_at_most)
+    layout = spark.sparkContext.broadcast(Layout(sizes, block))
 
     def packed(v: np.ndarray, query: bool) -> np.ndarray:
         return np.array([r.tobytes() for r in v.astype(kinds[query])], object)
 
-    def stored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, v, x in lots(batches, False):
-            raw = packed(v, False)
-            for t in range(tables):
-                bucket = turns.bucket(x, t)
-                at = layout.value.block(t, bucket, ids)
-                for part in range(parts):
-                    yield pd.DataFrame({"place": t, "block": at, "part": part, "id": ids, "v": raw, "bucket": bucket})
-
-    def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, v, x in lots(batches, True):
-            raw = packed(v, True)
-            for t in range(tables):
-                row, at, bucket = layout.value.visits(t, turns.probes(x, t, probes))
-                if not len(row):
-                    continue
-                new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(at) != 0)])
-                mine = row[new]
-                yield pd.DataFrame(
-                    {"place": t, "block": at[new], "part": spread(ids[mine]) % parts, "id": ids[mine], "v": raw[mine], "buckets": np.split(bucket, new[1:])}
-                )
+    def stored(all_of_it: bool, parts: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for g, ids, v, x in lifted(batches):
+                raw = packed(v, False)
+                for place, t in places(g, all_of_it):
+                    bucket = turns.bucket(x, t)
+                    at = layout.value.block(place, bucket, ids)
+                    for part in range(parts):
+                        yield pd.DataFrame({"place": place, "block": at, "part": part, "id": ids, "v": raw, "bucket": bucket})
+
+        return rows
+
+    def wanted(all_of_it: bool, parts: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for ids, v, unit, _ in lots(batches):
+                raw, x = packed(v, True), np.hstack((unit, np.zeros((len(unit), 1))))
+                near = [turns.probes(x, t, probes) for t in range(tables)]
+                for g in range(len(ranges.tops)):
+                    for place, t in places(g, all_of_it):
+                        buckets = near[t]
+                        if all_of_it or ranges.sizes[g] <= k + 1:
+                            buckets = np.tile(np.flatnonzero(layout.value.first[place] >= 0), (len(x), 1))
+                        row, at, bucket = layout.value.visits(place, buckets)
+                        if not len(row):
+                            continue
+                        new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(at) != 0)])
+                        mine = row[new]
+                        part = spread(ids[mine]) % parts
+                        yield pd.DataFrame(
+                            {"place": place, "block": at[new], "part": part, "id": ids[mine], "v": raw[mine], "buckets": np.split(bucket, new[1:])}
+                        )
+
+        return rows
 
     def vectors_of(raw: pd.Series, query: bool) -> np.ndarray:
         return np.frombuffer(b"".join(raw), kinds[query]).reshape(len(raw), -1).astype(np.float64)
@@ -269,16 +333,29 @@ def nearest(
         if len(left) and len(right):
             left = left.sort_values(["bucket", "id"], kind="stable")
             x, ids, bucket = vectors_of(left["v"], False), left["id"].to_numpy(), left["bucket"].to_numpy()
+            scale = float(ranges.tops[left["place"].iloc[0] // tables])
             for at in range(0, len(right), QUERIES_AT_ONCE):
                 some = right.iloc[at : at + QUERIES_AT_ONCE]
-                found.append(best_in_block(vectors_of(some["v"], True), some["id"].to_numpy(), some["buckets"].tolist(), x, ids, bucket, k))
+                found.append(best_in_block(vectors_of(some["v"], True), some["id"].to_numpy(), some["buckets"].tolist(), x, ids, bucket, k, scale))
         return pd.concat(found[1:] or found)
 
     by, key = ["place", "block", "part"], "place int, block long, part long, id long, v binary"
-    rows = index.mapInPandas(stored, f"{key}, bucket long").groupBy(*by)
-    seekers = asked.mapInPandas(wanted, f"{key}, buckets array<long>").groupBy(*by)
-    met = rows.cogroup(seekers).applyInPandas(scored, "query_id long, vec_id long, score double")
-    # A query has at most k rows for each block it visits; one shuffle serves both the merge and the ranks.
-    met = met.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def search(asked: DataFrame, number: int, all_of_it: bool) -> DataFrame:
+        parts = -(-number // queries_at_most)
+        blocks = index.mapInPandas(stored(all_of_it, parts), f"{key}, bucket long").groupBy(*by)
+        seekers = asked.mapInPandas(wanted(all_of_it, parts), f"{key}, buckets array<long>").groupBy(*by)
+        met = blocks.cogroup(seekers).applyInPandas(scored, "query_id long, vec_id long, score double")
+        # A query has at most k rows for each block it visits; one shuffle serves both the merge and the ranks.
+        met = met.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return met.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    met = pin(search(asked, number, False))
+    full = met.where(F.col("rank") == min(k, rows - 1)).select(F.col("query_id").alias("vec_id"))
+    short = pin(asked.join(full, "vec_id", "left_anti"))
+    missing = short.count()
+    if not missing or rows <= k + 1:
+        return met
+    rest = met.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti")
+    return rest.unionByName(search(short, missing, True))
