@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from orderflow.contract import FeatureContract
 from orderflow.functions.derived import ROUTE, ROUTE_FREQUENCY, derived_names
 from orderflow.ml.boosting import LOGISTIC, SQUARED, Settings, fit_boosted
+from orderflow.ml.extra_trees import fit_extra_trees
 from orderflow.ml.prep import DerivedFeatures, FrequencyEncoder, class_weights, preparation_stages
 from orderflow.operators.evaluate import (
     COUNTS,
@@ -110,7 +111,7 @@ ENGINEERED_CLASSIFIERS = {
     "logistic_regression": {"C": 1.0, "maxIter": 2000},
     "hist_gradient_boosting": {"trees": 220, "step": 0.08, "depth": 5, "least_rows": 30, "l2": 1.0},
     "random_forest": {"numTrees": 50, "maxDepth": 12, "minInstancesPerNode": 15, "featureSubsetStrategy": "0.5"},
-    "extra_trees": {"numTrees": 50, "maxDepth": 14, "minInstancesPerNode": 12, "featureSubsetStrategy": "0.5"},
+    "extra_trees": {"trees": 50, "depth": 14, "least_rows": 12, "features": 0.5},
     "gradient_boosted_trees": {"trees": 180, "step": 0.06, "depth": 6, "least_hessian": 5, "rows": 0.8, "features": 0.8, "l2": 2.0},
 }
 REGRESSORS = {
@@ -131,7 +132,7 @@ ENGINEERED_REGRESSORS = {
     "elastic_net": {"alpha": 0.03, "l1_ratio": 0.2},
     "hist_gradient_boosting": {"trees": 180, "step": 0.06, "depth": 5, "least_rows": 30, "l2": 2.0},
     "random_forest": {"numTrees": 40, "maxDepth": 12, "minInstancesPerNode": 15, "featureSubsetStrategy": "0.5"},
-    "extra_trees": {"numTrees": 40, "maxDepth": 14, "minInstancesPerNode": 12, "featureSubsetStrategy": "0.5"},
+    "extra_trees": {"trees": 40, "depth": 14, "least_rows": 12, "features": 0.5},
     "gradient_boosted_trees": {"trees": 180, "step": 0.06, "depth": 6, "least_hessian": 8, "rows": 0.8, "features": 0.8, "l2": 3.0},
 }
 
@@ -158,13 +159,11 @@ def _classifier(name: str, settings: dict) -> Fit:
         return [learner.fit(train), PositiveScore()]
 
     def tree(train: DataFrame) -> list:
-        kinds = {
-            "decision_tree": (DecisionTreeClassifier, {}),
-            "random_forest": (RandomForestClassifier, {}),
-            "extra_trees": (RandomForestClassifier, {"bootstrap": False}),
-        }
-        kind, extra = kinds[name]
-        return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, **extra, seed=SEED).fit(train), PositiveScore()]
+        kind = {"decision_tree": DecisionTreeClassifier, "random_forest": RandomForestClassifier}[name]
+        return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, seed=SEED).fit(train), PositiveScore()]
+
+    def randomised(train: DataFrame) -> list:
+        return [fit_extra_trees(train, Settings(**{"step": 1.0, "seed": SEED, **settings}), SCORE, FEATURES, LABEL, WEIGHT)]
 
     def boosted(train: DataFrame) -> list:
         # One family weighs both classes, the other only the positive one: its weights are relative to the negative ones.
@@ -174,7 +173,7 @@ def _classifier(name: str, settings: dict) -> Fit:
         weighted = train.withColumn(WEIGHT, F.col(WEIGHT) / unit)
         return [fit_boosted(weighted, LOGISTIC, Settings(**{"seed": SEED, **settings}), SCORE, FEATURES, LABEL, WEIGHT)]
 
-    own = {"dummy_classifier": prior, "logistic_regression": logistic, **dict.fromkeys(BOOSTED, boosted)}
+    own = {"dummy_classifier": prior, "logistic_regression": logistic, "extra_trees": randomised, **dict.fromkeys(BOOSTED, boosted)}
     return own.get(name, tree)
 
 
@@ -200,19 +199,21 @@ def _regressor(name: str, settings: dict) -> Fit:
 
     def tree(train: DataFrame) -> list:
         kinds = {
-            "decision_tree_regressor": (DecisionTreeRegressor, {}),
-            "random_forest_regressor": (RandomForestRegressor, {}),
-            "random_forest": (RandomForestRegressor, {}),
-            "extra_trees": (RandomForestRegressor, {"bootstrap": False}),
+            "decision_tree_regressor": DecisionTreeRegressor,
+            "random_forest_regressor": RandomForestRegressor,
+            "random_forest": RandomForestRegressor,
         }
-        kind, extra = kinds[name]
-        return [kind(**shared, **{"maxBins": MAX_BINS, **settings}, **extra, seed=SEED).fit(train)]
+        return [kinds[name](**shared, **{"maxBins": MAX_BINS, **settings}, seed=SEED).fit(train)]
+
+    def randomised(train: DataFrame) -> list:
+        return [fit_extra_trees(train, Settings(**{"step": 1.0, "seed": SEED, **settings}), PREDICTION, FEATURES, LABEL)]
 
     def boosted(train: DataFrame) -> list:
         return [fit_boosted(train, SQUARED, Settings(**{"seed": SEED, **settings}), PREDICTION, FEATURES, LABEL)]
 
     return {
         **dict.fromkeys(BOOSTED, boosted),
+        "extra_trees": randomised,
         "dummy_regressor": middle,
         "linear_regression": linear,
         "ridge": ridge,

@@ -167,7 +167,7 @@ SMALL_TREES = {"maxDepth": 3, "minInstancesPerNode": 5}
 SMALL_CLASSIFIERS = {
     "dummy_classifier": {},
     "random_forest": {"numTrees": 5, **SMALL_TREES},
-    "extra_trees": {"numTrees": 5, **SMALL_TREES},
+    "extra_trees": {"trees": 5, "depth": 4, "least_rows": 5, "features": 0.5},
     "hist_gradient_boosting": {"trees": 3, "step": 0.1, "depth": 3, "least_rows": 5, "l2": 1.0},
     "gradient_boosted_trees": {"trees": 3, "step": 0.1, "depth": 3, "least_hessian": 2, "rows": 0.8, "features": 0.8, "l2": 2.0},
 }
