@@ -67,7 +67,7 @@ STEPS = {
                min(price) AS minimum_item_price, max(price) AS maximum_item_price,
                sum(freight_value) AS total_freight, avg(freight_value) AS average_freight_per_item,
                max(freight_value) AS maximum_freight_per_item,
-               CASE WHEN sum(price) > 0 THEN sum(freight_value) / sum(price) END AS freight_to_price_ratio,
+               CASE WHEN sum(price) > 0 THEN round(sum(freight_value) / sum(price), 12) END AS freight_to_price_ratio,
                sum(product_weight_g) AS total_product_weight_g, avg(product_weight_g) AS average_product_weight_g,
                max(product_weight_g) AS maximum_product_weight_g,
                sum(product_volume_cm3) AS total_product_volume_cm3,
