@@ -4,7 +4,8 @@ Each word votes on the 64 bits of its hash with its length as weight, once for e
 set if over half of a text's weight voted for it. Two bits are counted in one 64-bit sum (32 sums of 32-bit
 halves), so the votes of a text are one small row however long it is.
 
-The next document by doc_id is found in slices of neighbouring ids: ids are counted in BUCKETS equal ranges, ranges
+The next document by doc_id is found in slices of neighbouring (id, text hash): ranges of ids are counted, a range with too much
+text is counted again in finer ranges between the ids it really holds, one id with too much text in ranges of text hashes. Ranges
 are gathered into slices of about SLICE_BYTES of text, and only within a slice are rows sorted. The first document of the next
 slice is put behind each slice as a guest. The one shuffle by slice also serves the votes, which stay in it.
 
@@ -12,7 +13,7 @@ slice is put behind each slice as a guest. The one shuffle by slice also serves
 each choice of ``kept`` blocks there is a table keyed by them; pairs that meet are verified once, in the first table that shows them.
 
 Defined results: null and empty texts and texts without words have fingerprint zero. Ties of doc_id are ordered by text hash; a
-null doc_id comes first. The only document is its own next one. Repeated rows are documents of their own. Empty table: no rows.
+null doc_id comes first; only rows equal in both share a slice whatever their number. The only document is its own next one. Repeated rows are documents of their own. Empty table: no rows.
 Other columns are not read.
 """
 
@@ -27,6 +28,7 @@ from orderflow.llm.common import or_empty
 from orderflow.session import pin
 
 BUCKETS, SLICE_BYTES = 65_536, 2_000_000
+RADIUS = 3
 #: Bit i and bit i + 32 of a hash, as two halves of one sum.
 HALVES = (1 << 32) + 1
 SPACE = r"[\x20\x09-\x0D]+"
@@ -64,23 +66,66 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _slices(docs: DataFrame) -> tuple[Column, DataFrame]:
-    """Bucket of an id, and (bucket, slice, next_first): ranges of ids, the slice that each belongs to, the first id behind the slice.
-    Made on the driver from at most BUCKETS + 1 counts."""
-    known = docs.where(F.col("id") != NO_ID).agg(F.min("id"), F.max("id")).first()
-    low, high = (known[0], known[1]) if known[0] is not None else (0, 0)
-    width = max(1, -(-(high - low + 1) // BUCKETS))
-    bucket = F.when(F.col("id") == NO_ID, F.lit(-1)).otherwise(F.floor((F.col("id").cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("int"))
-    counts = docs.groupBy(bucket.alias("bucket")).agg(F.sum("bytes").alias("bytes"), F.min("id").alias("first")).orderBy("bucket").collect()
-    slices, first, filled = [], [], SLICE_BYTES
-    for r in counts:
-        if filled >= SLICE_BYTES:
-            first.append(r["first"])
-            filled = 0
-        filled += r["bytes"]
-        slices.append((r["bucket"], len(first) - 1))
-    rows = [(b, s, first[(s + 1) % len(first)]) for b, s in slices]
-    return bucket, docs.sparkSession.createDataFrame(rows, "bucket int, slice int, next_first long")
+class _Slices:
+    """Cuts all rows, in the order of (id, text hash), into slices. ``keys`` has id, hash and bytes of every row and is read once a
+    level. A level's ranges are at most about 5 * BUCKETS on the driver, whatever the table: each range that is cut again holds more
+    than ``full`` bytes, and gets parts in proportion to them."""
+
+    def __init__(self, keys: DataFrame):
+        self.spark, self.levels = keys.sparkSession, []
+        total = keys.agg(F.sum("bytes"), F.min("id"), F.max("id")).first()
+        self.slice_bytes = max(SLICE_BYTES, (total[0] or 0) // BUCKETS)
+        full, leaves, base = 4 * self.slice_bytes, [], 1
+        cut = [] if total[0] is None else [(0, False, total[1], total[2], BUCKETS)]
+        while cut:
+            level, born = [], base
+            for node, by_hash, low, high, parts in cut:
+                width = -(-(high - low + 1) // parts)
+                level.append((node, by_hash, low, width, base))
+                base += (high - low) // width + 1
+            self.levels.append(level)
+            found = self._place(keys).where(F.col("node") >= born).groupBy("node").agg(
+                F.sum("bytes").alias("bytes"), F.min(F.struct("id", "hash")).alias("first"), F.max("id").alias("last_id"),
+                F.min("hash").alias("low_hash"), F.max("hash").alias("high_hash"),
+            ).collect()
+            cut = []
+            for r in found:
+                parts = 4 * -(-r["bytes"] // full)
+                if r["bytes"] > full and r["first"]["id"] < r["last_id"]:
+                    cut.append((r["node"], False, r["first"]["id"], r["last_id"], parts))
+                elif r["bytes"] > full and r["low_hash"] < r["high_hash"]:
+                    cut.append((r["node"], True, r["low_hash"], r["high_hash"], parts))
+                else:
+                    leaves.append((r["first"]["id"], r["first"]["hash"], r["node"], r["bytes"]))
+        starts, filled, self.of_node = [], self.slice_bytes, []
+        for doc, digest, node, size in sorted(leaves):
+            if filled >= self.slice_bytes:
+                starts.append((doc, digest))
+                filled = 0
+            filled += size
+            self.of_node.append((node, len(starts) - 1))
+        self.next_first = [(s, *starts[(s + 1) % len(starts)]) for s in range(len(starts))]
+
+    def _place(self, rows: DataFrame) -> DataFrame:
+        """Rows with the ``node`` that they reach."""
+        placed = rows.withColumn("node", F.lit(0).cast("long"))
+        for level in self.levels:
+            ranges = self.spark.createDataFrame(level, "node long, by_hash boolean, low long, width long, base long")
+            offset = F.expr("(CAST(if(by_hash, hash, id) AS DECIMAL(20,0)) - CAST(low AS DECIMAL(20,0))) DIV CAST(width AS DECIMAL(20,0))")
+            below = F.coalesce(F.col("base") + offset, F.col("node"))
+            # Bounded as the class says.
+            placed = placed.join(F.broadcast(ranges), "node", "left").withColumn("node", below).drop("by_hash", "low", "width", "base")
+        return placed
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows (with id and hash) and their ``slice``."""
+        slices = F.broadcast(self.spark.createDataFrame(self.of_node, "node long, slice int"))
+        return self._place(rows).join(slices, "node").drop("node")
+
+    def guests(self, rows: DataFrame) -> DataFrame:
+        """(slice, id, hash, text): one row for each slice, the first of the next slice."""
+        behind = F.broadcast(self.spark.createDataFrame(self.next_first, "slice int, id long, hash long"))
+        return rows.join(behind, ["id", "hash"]).groupBy("slice", "id", "hash").agg(F.min("text").alias("text"))
 
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -88,14 +133,14 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     body = or_empty(text)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), body.alias("text")
-    )
-    bucket, slices = _slices(rows.select("id", F.octet_length("text").cast("long").alias("bytes")))
-    slices = F.broadcast(slices)  # at most BUCKETS + 1 rows, and so are the guests' ids
-    placed = rows.withColumn("bucket", bucket).join(slices, "bucket").select("slice", "doc_id", "id", "text", F.lit(False).alias("guest"))
-    behind = F.broadcast(slices.select("slice", F.col("next_first").alias("id")).distinct())
-    guests = rows.join(behind, "id").select("slice", "doc_id", "id", "text", F.lit(True).alias("guest"))
-
-    order = Window.partitionBy("slice").orderBy("guest", "id", F.xxhash64("text"))
+    ).withColumn("hash", F.xxhash64("text"))
+    keys = pin(rows.select("id", "hash", F.octet_length("text").cast("long").alias("bytes")))
+    slices = _Slices(keys)
+    columns = ["slice", "doc_id", "id", "hash", "text"]
+    placed = slices.placed(rows).select(*columns, F.lit(False).alias("guest"))
+    guests = slices.guests(rows).withColumns({"doc_id": F.lit(None).cast(docs.schema[doc_id].dataType), "guest": F.lit(True)}).select(*columns, "guest")
+
+    order = Window.partitionBy("slice").orderBy("guest", "id", "hash")
     numbered = placed.unionByName(guests).withColumns({"n": F.row_number().over(order), "next_text": F.lead("text").over(order)})
     edited = F.when(~F.col("guest"), _edited(F.col("text"), F.col("next_text")))
     row = ["slice", "n", "guest", "doc_id", "n_chars", "edited_sha256"]
@@ -122,13 +167,26 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     )
 
 
+def with_near_counts(printed: DataFrame, doc_id: str = "doc_id", every: int = 50, radius: int = RADIUS) -> DataFrame:
+    """``near_count`` for the rows whose id is divisible by ``every``: how many other fingerprints of the table lie within ``radius``
+    bits of the row's own, by the block tables; null for all other rows."""
+    printed = pin(printed)
+    fp = F.conv("fingerprint", 16, -10).cast("long")
+    asked = F.col(doc_id) % every == 0
+    near = within_radius(printed.where(asked).select(fp.alias("query")).distinct(), printed.select(fp.alias("fp")).distinct(), radius)
+    counts = near.groupBy("query").agg((F.count(F.lit(1)) - 1).alias("near_count")).withColumn("of", as_hex(F.col("query")))
+    found = printed.where(asked).join(counts.select(F.col("of").alias("fingerprint"), "near_count"), "fingerprint", "left")
+    rest = printed.where(~F.coalesce(asked, F.lit(False))).withColumn("near_count", F.lit(None).cast("long"))
+    return found.select(*printed.columns, "near_count").unionByName(rest)
+
+
 def _edited(text: Column, after: Column) -> Column:
     n = F.char_length(text)
     half = F.floor(n / 2).cast("int")
     return F.concat(F.substring(text, F.lit(1), n - half), F.substring(after, F.lit(1), half))
 
 
-def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3, kept: int = 3) -> DataFrame:
+def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, kept: int = 3) -> DataFrame:
     """(query, fp): all fingerprints of ``index`` (distinct fp) within ``radius`` bits of those of ``queries`` (distinct query)."""
     blocks = radius + kept
     edges = [64 * b // blocks for b in range(blocks + 1)]

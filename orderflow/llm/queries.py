@@ -68,7 +68,7 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return fingerprints.with_near_counts(fingerprints.fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
 @query
