@@ -108,8 +108,12 @@ class _Slices:
 
     def _place(self, rows: DataFrame) -> DataFrame:
         """Rows with the ``node`` that they reach."""
-        placed = rows.withColumn("node", F.lit(0).cast("long"))
-        for level in self.levels:
+        if not self.levels:
+            return rows.withColumn("node", F.lit(0).cast("long"))
+        (_, _, low, width, base), = self.levels[0]  # all rows in one range: no table to join
+        first = f"{base} + (CAST(id AS DECIMAL(20,0)) - CAST('{low}' AS DECIMAL(20,0))) DIV CAST({width} AS DECIMAL(20,0))"
+        placed = rows.withColumn("node", F.expr(first).cast("long"))
+        for level in self.levels[1:]:
             ranges = self.spark.createDataFrame(level, "node long, by_hash boolean, low long, width long, base long")
             offset = F.expr("(CAST(if(by_hash, hash, id) AS DECIMAL(20,0)) - CAST(low AS DECIMAL(20,0))) DIV CAST(width AS DECIMAL(20,0))")
             below = F.coalesce(F.col("base") + offset, F.col("node"))
