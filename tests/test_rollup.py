@@ -163,3 +163,37 @@ def test_item_rollup_scans_the_items_twice(spark, tiny):
     plan = delivery_tables(spark, tiny).item_features()._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) == 2
     assert "Expand" not in plan and "collect_set" not in plan
+
+
+def test_rollups_deal_their_rows_once(spark, tiny):
+    from orderflow.plans.testbed import delivery_tables
+
+    def dealt(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    tables = delivery_tables(spark, tiny)
+    assert dealt(tables.item_features()) == 2 and dealt(tables.payment_features()) == 1
+    assert dealt(rollup.joined_orders(tables.orders, tables.customers, tables.item_features(keyed=True), rollup.payment_rollup(tables.payments, keyed=True))) <= 4
+
+
+def test_crowded_orders_are_spread_and_equal(spark, tiny, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from orderflow.plans.testbed import delivery_tables
+
+    tables = delivery_tables(spark, tiny)
+    one = F.when(F.col("order_id") % 3 == 0, 3).when(F.col("order_id") % 3 == 1, F.col("order_id")).alias("order_id")
+    items, payments = (df.select(one, *[c for c in df.columns if c != "order_id"]) for df in (tables.order_items, tables.payments))
+    ties = ["order_item_id", "product_id", "seller_id", "price"]
+    enriched = rollup.enrich_items(items, tables.products, tables.sellers)
+    paid = ["payment_sequential", "payment_value", "payment_installments"]
+
+    def both():
+        made = rollup.order_item_rollup(enriched, ties), rollup.payment_rollup(payments, ties=paid)
+        return [{r[0]: [round(v, 6) if isinstance(v, float) else v for v in r] for r in df.collect()} for df in made]
+
+    plain = both()
+    assert rollup.crowded_keys(items, "order_id") is None
+    monkeypatch.setattr(rollup, "CROWDED", 100)
+    assert sorted(map(tuple, rollup.crowded_keys(items, "order_id").collect())) == [(False, 3), (True, 0)]
+    assert both() == plain and {None, 3} < set(plain[0])
