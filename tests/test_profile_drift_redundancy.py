@@ -134,3 +134,27 @@ def test_redundancy_report(data):
         ("high_spearman_correlation", "b", "b2"),
         ("exact_duplicate", "b", "b2"),
     }
+
+
+@pytest.mark.parametrize("lookup", [0, 400, 1_000_000])
+def test_spearman_is_equal_however_ranks_are_looked_up(data, monkeypatch, lookup):
+    """Ranks by a join, by a table in the tasks, or some of each; a column without any value has no pair."""
+    monkeypatch.setattr(redundancy, "LOOKUP", lookup)
+    pdf, df = data
+    names = ["a", "b", "c", "days", "half"]
+    gapped = df.withColumn("half", F.when(F.col("id") % 2 == 0, F.col("a") % 7)).withColumn("none", F.lit(None).cast("double"))
+    pdf = pdf.assign(half=(pdf.a % 7).where(pdf.id % 2 == 0))
+    got = redundancy.spearman_pairs(gapped, "id", [*names, "none"], fewest_pairs=0).collect()
+    expected = pdf[names].corr(method="spearman")
+    assert len(got) == 10
+    for r in got:
+        x, y = r["left_column"], r["right_column"]
+        assert math.isclose(r["value"], expected.loc[x, y], abs_tol=1e-9)
+        assert r["pair_count"] == (pdf[x].notna() & pdf[y].notna()).sum()
+
+
+def test_spearman_moves_no_rows_where_values_are_few(data, monkeypatch):
+    """Rows went through a join and one partial row of all variables for each value."""
+    _, df = data
+    monkeypatch.setattr(redundancy, "_looked_up", None)
+    assert redundancy.spearman_pairs(df, "id", ["a", "b", "c", "days"]).count() == 6
