@@ -70,6 +70,33 @@ def test_target_by_quartile(data):
     assert got["b", "1.0"]["group_type"] == "value" and got["b", "1.0"]["order_count"] == (pdf.b == 1).sum()
 
 
+def test_grouped_targets_keep_no_sketch_per_group(spark):
+    """Medians of many groups, with ties, gaps, NaN, infinities and values in one bin only, without a sketch in the plan."""
+    rng = np.random.default_rng(5)
+    days = np.where(rng.random(6000) < 0.4, 7.5, rng.exponential(9.0, 6000).round(2))
+    days[rng.random(6000) < 0.01], days[rng.random(6000) < 0.01] = np.inf, -np.inf
+    days[rng.random(6000) < 0.01] = np.nan
+    rows = [
+        (i % 150, None if i % 150 == 3 or i % 11 == 0 else float(d), None if i % 13 == 0 else int(i % 7 == 0)) for i, d in enumerate(days)
+    ]
+    df = spark.createDataFrame(rows, "g int, days double, late int")
+    grouped = profile.grouped_targets(df, ["g"], "late", "days")
+    assert "percentile" not in grouped._jdf.queryExecution().toString()
+    got = {r["g"]: r for r in grouped.collect()}
+    assert len(got) == 150
+    for g in range(150):
+        part = [r for r in rows if r[0] == g]
+        known = sorted((r[1] for r in part if r[1] is not None), key=lambda x: (math.isnan(x), x))
+        labels = [r[2] for r in part if r[2] is not None]
+        assert got[g]["order_count"] == len(part) and math.isclose(got[g]["late_delivery_rate"], sum(labels) / len(labels))
+        median = got[g]["median_actual_delivery_days"]
+        if not known:
+            assert median is None and got[g]["mean_actual_delivery_days"] is None
+            continue
+        lo, hi = known[(len(known) - 1) // 2], known[len(known) // 2]
+        assert math.isclose(median, lo + (hi - lo) * 0.5)
+
+
 def test_top_categories_and_rest(data):
     pdf, df = data
     got = {r["category"]: r["order_count"] for r in profile.target_by_top_category(df, "kind", "late", "days", k=1).collect()}
