@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
 from check_queries import TABLES, rows_of
+from orderflow.plans import queries as catalogue
 from orderflow.plans.delivery import table_specs
 from orderflow.sources import readers, writers
 
@@ -106,3 +107,9 @@ def test_query_equals_sql(spark, tiny, db, name):
 
 def test_every_query_but_the_models_has_sql():
     assert set(queries()) - set(oracle_sql()) - set(LLM_QUERIES) == {"model_compare", "score_batch"}
+
+
+def test_split_writes_the_model_dataset_no_second_time(spark, tiny):
+    parted = catalogue.split_model(spark, tiny)
+    assert set(parted.inputFiles()) == set(catalogue.model(spark, tiny).inputFiles())
+    assert {r[0] for r in parted.select("split").distinct().collect()} == {"train", "validation", "test"}
