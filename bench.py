@@ -72,8 +72,8 @@ def main() -> None:
     start = time.perf_counter()
     prepared = models.prepare(CONTRACT, ready["train"], ready["validation"])
     seconds["fit_preparation"] = round(time.perf_counter() - start, 3)
-    late = models.compare_classifiers(prepared, catalogue.UNFORESTED_CLASSIFIERS)
-    days = models.compare_regressors(prepared, catalogue.UNFORESTED_REGRESSORS)
+    late = models.compare_classifiers(prepared, catalogue.CLASSIFIERS)
+    days = models.compare_regressors(prepared, catalogue.COMPARED_REGRESSORS)
     per_row = {}
     for comparison in (late, days):
         for row in comparison.metrics.collect():
